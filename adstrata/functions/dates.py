@@ -14,11 +14,12 @@ SECONDS_PER_DAY = 86400
 
 def parse_day(text: Column, strict: bool = True) -> Column:
     """A `yyyy-MM-dd` text as a date. Bad text fails the job, or gives NULL when not strict."""
-    day = F.when(is_day_text(text), F.try_to_date(text, "yyyy-MM-dd"))
+    day = text.try_cast("date")
+    # The cast also takes other forms; only the one it prints itself is accepted.
+    exact = F.when(day.cast("string") == text, day)
     if not strict:
-        return day
-    bad = text.isNotNull() & day.isNull()
-    return F.when(bad, F.raise_error(F.concat(F.lit("not a yyyy-MM-dd date: "), text))).otherwise(day)
+        return exact
+    return exact.when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a yyyy-MM-dd date: "), text)))
 
 
 def is_day_text(text: Column) -> Column:

@@ -20,7 +20,7 @@ def latest_codes(codes: DataFrame, tiebreak: str = "verification_code") -> DataF
 def delete_codes(codes: DataFrame, emails: DataFrame) -> DataFrame:
     """The codes left once those of the given addresses are deleted."""
     gone = emails.select("email").dropna().distinct()
-    return codes.join(gone, "email", "left_anti")
+    return codes.join(gone, "email", "left_anti").select(codes.columns)
 
 
 def expired(created_at: Column, now: Column, minutes: int = EXPIRY_MINUTES) -> Column:
@@ -66,7 +66,7 @@ def check_codes(
         .otherwise("verified")
     )
     checked = matched.unionByName(incomplete.withColumn("_match", F.lit(None).cast(matched.schema["_match"].dataType)))
-    return checked.withColumn("status", status).drop("_match")
+    return checked.select(*attempts.columns, status.alias("status"))
 
 
 def _carried(attempts: DataFrame, known: DataFrame) -> DataFrame:

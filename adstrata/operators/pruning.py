@@ -37,4 +37,4 @@ def relevant_history(raw: DataFrame, staged: DataFrame, max_broadcast: int = BRO
     creatives = staged.select(*CREATIVE_KEY).dropna().distinct()
     if fits_broadcast(creatives, max_broadcast):
         pruned = pruned.join(F.broadcast(creatives), list(CREATIVE_KEY), "left_semi")
-    return pruned
+    return pruned.select(raw.columns)

@@ -53,8 +53,10 @@ def listed(
             return df.filter(F.col(column).isin(values))
     wanted = ids_relation(df, ids, column)
     if fits_broadcast(wanted, max_broadcast):
-        return df.join(F.broadcast(wanted), column, "left_semi")
-    return salted_join(df, wanted, [column], "left_semi", spread_by)
+        chosen = df.join(F.broadcast(wanted), column, "left_semi")
+    else:
+        chosen = salted_join(df, wanted, [column], "left_semi", spread_by)
+    return chosen.select(df.columns)
 
 
 def _flagged(df: DataFrame, ids: Ids, column: str, flag: str, spread_by: Sequence[str], max_broadcast: int) -> DataFrame:

@@ -21,7 +21,7 @@ def new_versions(incoming: DataFrame, existing: DataFrame, also: Sequence[str] =
     is split by the skew join.
     """
     keys = [*VERSION_KEY, *also]
-    return incoming.join(existing.select(keys).distinct(), keys, "left_anti")
+    return incoming.join(existing.select(keys).distinct(), keys, "left_anti").select(incoming.columns)
 
 
 def drop_repeats(incoming: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ once per application, because in use they are stored tables too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,21 +23,34 @@ MARKET = "EUROPE"
 HISTORY_TIME = datetime(2024, 1, 1, tzinfo=timezone.utc)
 REFRESH_TIME = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
-_stored: dict[tuple[str, str, str], str] = {}
+# Handles on tables of this application, so that their files are listed once.
+_open: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
+
+
+def _opened(spark: SparkSession, sf_dir: str, name: str, locate: Callable[[], str]) -> tuple[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _open or _open[key][1].sparkSession is not spark:
+        path = _open[key][0] if key in _open else locate()
+        reader = spark.read.schema(RAW_SCHEMA) if name.startswith("raw_") else spark.read
+        _open[key] = path, reader.parquet(path)
+    return _open[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _opened(spark, sf_dir, name, lambda: f"{sf_dir}/{name}.parquet")[1]
 
 
-def _stored_once(spark: SparkSession, sf_dir: str, name: str, build, partitioned: bool = False) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> tuple[str, DataFrame]:
+    """A derived table, written the first time it is asked for."""
+
+    def write() -> str:
         path = staging_path(spark, name)
-        writer = build().write
-        (writer.partitionBy(PARTITION_COLUMN) if partitioned else writer).parquet(path)
-        _stored[key] = path
-    return _stored[key]
+        rows = build()
+        writer = rows.write.partitionBy(PARTITION_COLUMN) if PARTITION_COLUMN in rows.columns else rows.write
+        writer.parquet(path)
+        return path
+
+    return _opened(spark, sf_dir, name, write)
 
 
 def _padded(prefix: str, number: str | Column) -> Column:
@@ -90,11 +104,11 @@ def _build_creative_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def creative_stats_path(spark: SparkSession, sf_dir: str) -> str:
-    return _stored_once(spark, sf_dir, "creative_stats", lambda: _build_creative_stats(spark, sf_dir))
+    return _stored(spark, sf_dir, "creative_stats", lambda: _build_creative_stats(spark, sf_dir))[0]
 
 
 def creative_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(creative_stats_path(spark, sf_dir))
+    return _stored(spark, sf_dir, "creative_stats", lambda: _build_creative_stats(spark, sf_dir))[1]
 
 
 def advertisers_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,26 +130,15 @@ def _build_raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw_rows(market_records(creative_stats(spark, sf_dir), MARKET), HISTORY_TIME)
     suffix = F.right("creative_id", F.lit(6)).cast("int")
     older = F.replace("raw_data", F.lit('"topic":"'), F.lit('"topic":"old-'))
-    return (
-        rows.filter(suffix % 2 == 0)
-        .withColumn("raw_data", F.when(suffix % 4 == 0, F.col("raw_data")).otherwise(older))
+    versions = rows.filter(suffix % 2 == 0).withColumn(
+        "raw_data", F.when(suffix % 4 == 0, F.col("raw_data")).otherwise(older)
     )
-
-
-def _by_month(rows: DataFrame) -> DataFrame:
-    return laid_out(with_partition(rows, "month"))
-
-
-def _read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    return laid_out(with_partition(versions, "month"))
 
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table before a run: unchanged, older and missing versions of today's records."""
-    path = _stored_once(
-        spark, sf_dir, "raw_history", lambda: _by_month(_build_raw_history(spark, sf_dir)), partitioned=True
-    )
-    return _read_raw(spark, path)
+    return _stored(spark, sf_dir, "raw_history", lambda: _build_raw_history(spark, sf_dir))[1]
 
 
 def _build_raw_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,10 +150,7 @@ def _build_raw_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table after a refresh of all tracked advertisers."""
-    path = _stored_once(
-        spark, sf_dir, "raw_versions", lambda: _build_raw_versions(spark, sf_dir), partitioned=True
-    )
-    return _read_raw(spark, path)
+    return _stored(spark, sf_dir, "raw_versions", lambda: _build_raw_versions(spark, sf_dir))[1]
 
 
 def creative_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

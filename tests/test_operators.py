@@ -1,0 +1,412 @@
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from builders import MARKET, creative, raw, source
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from adstrata.operators import codes, counts, media, required, skew, versions
+from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
+from adstrata.operators.pruning import relevant_history
+from adstrata.operators.selection import between_days, id_list, in_market, listed, lookup, targeted
+from adstrata.schemas import PARTITION_COLUMN, RAW_COLUMNS
+from adstrata.sources.tables import with_partition
+
+
+def rows_of(df, *columns):
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+def names(df, column="creative_id"):
+    return sorted(r[0] for r in df.select(column).collect())
+
+
+# --- lists of ids ---
+
+
+def test_id_list():
+    assert id_list("a") == ["a"]
+    assert id_list(["b", "a", "b", None]) == ["a", "b"]
+    assert id_list(None) == []
+
+
+@pytest.fixture
+def people(spark):
+    rows = [(f"AR{i % 7}", f"CR{i}") for i in range(50)] + [(None, "CR-null"), ("AR1", "CR1")]
+    return spark.createDataFrame(rows, "advertiser_id string, creative_id string")
+
+
+def test_listed_gives_the_same_by_every_route(spark, people):
+    wanted = ["AR1", "AR3", "AR-unknown"]
+    table = spark.createDataFrame([(w,) for w in wanted + wanted + [None]], "id string")
+    expected = rows_of(people.filter("advertiser_id in ('AR1','AR3')"), "*")
+    assert rows_of(listed(people, wanted), "*") == expected
+    assert rows_of(listed(people, table), "*") == expected
+    assert rows_of(listed(people, table, max_broadcast=1), "*") == expected
+    assert rows_of(listed(people, [*wanted, *(f"x{i}" for i in range(2000))]), "*") == expected
+    assert listed(people, []).count() == 0
+
+
+def test_large_lists_are_not_broadcast(spark, people):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.createDataFrame([("AR1",), ("AR2",)], "id string")
+        small, large = listed(people, table), listed(people, table, max_broadcast=1)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_targeted(spark, people):
+    advertisers, creatives = ["AR1"], ["CR2", "CR8", "CR-null"]
+    expected = rows_of(people.filter("advertiser_id = 'AR1' or creative_id in ('CR2','CR8','CR-null')"), "*")
+    a, c = (spark.createDataFrame([(i,) for i in ids + ids], "id string") for ids in (advertisers, creatives))
+    for wanted_a in (advertisers, a):
+        for wanted_c in (creatives, c):
+            assert rows_of(targeted(people, wanted_a, wanted_c), "*") == expected
+    assert rows_of(targeted(people, a, c, max_broadcast=0), "*") == expected
+    assert rows_of(targeted(people, creative_ids=c, max_broadcast=0), "*") == rows_of(
+        people.filter("creative_id in ('CR2','CR8','CR-null')"), "*"
+    )
+    assert rows_of(targeted(people, list(reversed(advertisers)), list(reversed(creatives))), "*") == expected
+    assert rows_of(targeted(people, "AR1"), "*") == rows_of(people.filter("advertiser_id = 'AR1'"), "*")
+    with pytest.raises(ValueError):
+        targeted(people, [], None)
+
+
+def test_lookup(people):
+    assert lookup(people, "advertiser_id", "AR2").count() == 7
+    assert lookup(people, "advertiser_id", "' or 1=1 --").count() == 0
+
+
+# --- market and days ---
+
+
+def test_in_market(spark):
+    df = source(
+        spark,
+        creative(number="in"),
+        creative(number="elsewhere", location="NO"),
+        creative(number="not-shown", regions=(("NO", "2024-01-01", "2024-01-01"),)),
+        creative(number="no-regions", regions=None),
+        creative(number="empty", regions=()),
+        creative(number="null-entry", regions=(None, (MARKET, "2024-01-01", "2024-01-01"))),
+    )
+    assert names(in_market(df, MARKET)) == ["in", "null-entry"]
+
+
+def test_market_records_cut_regions_and_find_days(spark):
+    df = source(spark, creative(regions=(("NO", "2023-01-01", "2023-01-02"), (MARKET, "2024-01-05", "2024-01-09"))))
+    row = market_records(df, MARKET).first()
+    assert [r.region_code for r in row.region_stats] == [MARKET]
+    assert (row.first_shown_date, row.last_shown_date) == (date(2024, 1, 5), date(2024, 1, 9))
+
+
+def test_market_records_strict_and_lenient(spark):
+    double = creative(regions=((MARKET, "2024-01-05", "2024-01-09"), (MARKET, "2024-02-05", "2024-02-09")))
+    bad_day = creative(regions=((MARKET, "2024-1-5", "2024-01-09"),))
+    for row in (double, bad_day):
+        with pytest.raises(Exception, match="more than one entry|not a yyyy-MM-dd"):
+            market_records(source(spark, row), MARKET).collect()
+        assert market_records(source(spark, row), MARKET, strict=False).first().first_shown_date is None
+    # Rows of other markets are never looked into.
+    other = creative(location="NO", regions=((MARKET, "bad", "bad"), (MARKET, "bad", "bad")))
+    assert market_records(source(spark, other), MARKET).count() == 0
+
+
+def test_raw_rows(spark):
+    when = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
+    row = raw_rows(market_records(source(spark, creative()), MARKET), when).select(
+        "*", F.unix_seconds("data_modified").alias("s"), F.unix_seconds("metadata_time").alias("m")
+    ).first()
+    assert row.s == datetime(2024, 1, 5, tzinfo=timezone.utc).timestamp()
+    assert row.m == when.timestamp()
+    assert raw_rows(market_records(source(spark, creative()), MARKET)).columns == list(RAW_COLUMNS)
+
+
+def test_between_days_includes_both_ends(spark):
+    days = [(date(2024, 1, d),) for d in (1, 2, 3, 4)] + [(None,)]
+    df = spark.createDataFrame(days, "d date")
+    assert [r.d.day for r in between_days(df, "d", "2024-01-02", date(2024, 1, 3)).collect()] == [2, 3]
+
+
+def test_lower_case_columns_keep_the_last_of_a_collision(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["A_b", "Other", "a_B"])
+    assert lower_case_columns(df).first().asDict() == {"a_b": 3, "other": 2}
+    ids = spark.createDataFrame([("adv123", "crt456")], ["Advertiser_ID", "Creative_ID"])
+    assert lower_case_columns(ids).first().asDict() == {"advertiser_id": "adv123", "creative_id": "crt456"}
+
+
+# --- versions ---
+
+
+def test_new_versions(spark):
+    existing = raw(spark, ("A", "1", "same"), ("A", "2", "old"), ("A", "1", "same"))
+    incoming = raw(
+        spark, ("A", "1", "same"), ("A", "2", "new"), ("B", "1", "same"), ("A", "3", "twice"), ("A", "3", "twice")
+    )
+    got = rows_of(versions.new_versions(incoming, existing), "advertiser_id", "creative_id", "raw_data")
+    assert got == Counter({("A", "2", "new"): 1, ("B", "1", "same"): 1, ("A", "3", "twice"): 2})
+    dropped = versions.new_versions(versions.drop_repeats(incoming), existing)
+    assert dropped.count() == 3
+
+
+def test_new_versions_keep_rows_with_null_keys(spark):
+    rows = [("A", None, "t"), (None, "1", "t"), ("A", "1", None)]
+    schema = "advertiser_id string, creative_id string, raw_data string"
+    df = spark.createDataFrame(rows, schema)
+    assert versions.new_versions(df, df).count() == 3
+
+
+def test_empty_existing(spark):
+    incoming = raw(spark, ("A", "1", "t"))
+    assert versions.new_versions(incoming, incoming.limit(0)).count() == 1
+
+
+def random_raw(spark, seed, size=300):
+    pick = random.Random(seed)
+    return raw(
+        spark,
+        *[
+            (
+                f"A{pick.randrange(3)}",
+                f"C{pick.randrange(4)}",
+                f"text-{pick.randrange(12)}",
+                f"2024-0{pick.randrange(1, 4)}-0{pick.randrange(1, 9)}",
+                f"2024-02-0{pick.randrange(1, 6)}",
+            )
+            for _ in range(size)
+        ],
+    )
+
+
+def test_latest_version(spark):
+    df = raw(
+        spark,
+        ("A", "1", "b", None, "2024-02-02"),
+        ("A", "1", "a", None, "2024-02-02"),
+        ("A", "1", "0", None, "2024-02-01"),
+        ("A", "2", "x", None, "2024-02-01"),
+    )
+    assert rows_of(versions.latest_version(df), "creative_id", "raw_data") == Counter({("1", "a"): 1, ("2", "x"): 1})
+
+
+def expected_history(df):
+    import hashlib
+
+    groups: dict = {}
+    for r in df.collect():
+        digest = hashlib.sha256(r.raw_data.encode()).hexdigest()
+        groups.setdefault((r.advertiser_id, r.creative_id), Counter())[(r.metadata_time, digest, r.data_modified)] += 1
+    out = Counter()
+    for key, found in groups.items():
+        before = None
+        for number, (version, copies) in enumerate(sorted(found.items()), 1):
+            out[(*key, *version, copies, number, before is not None and before != version[1])] += 1
+            before = version[1]
+    return out
+
+
+HISTORY = ("advertiser_id", "creative_id", "metadata_time", "digest", "data_modified", "copies", "version_no", "changed")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 25, 10**6])
+def test_version_history_in_one_piece_or_many(spark, hot_rows):
+    df = random_raw(spark, seed=hot_rows)
+    got = versions.version_history(df, hot_rows=hot_rows)
+    assert rows_of(got, *HISTORY) == expected_history(df)
+
+
+def test_version_history_with_many_texts_of_one_load(spark):
+    df = raw(spark, *[("A", "1", f"text-{i}", None, "2024-02-01") for i in range(600)], ("A", "2", "t"))
+    assert rows_of(versions.version_history(df, hot_rows=100), *HISTORY) == expected_history(df)
+
+
+# --- reading back the raw table ---
+
+
+@pytest.mark.parametrize("max_broadcast", [0, 10**6])
+@pytest.mark.parametrize("seed", range(3))
+def test_pruned_history_gives_the_same_new_versions(spark, seed, max_broadcast):
+    def aligned(df):
+        # One day per text, as in a raw table of one market.
+        day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("raw_data"), F.lit(40)).cast("int"))
+        return with_partition(df.withColumn("data_modified", day.cast("timestamp")))
+
+    stored, incoming = aligned(random_raw(spark, seed, 60)), aligned(random_raw(spark, seed + 100, 40))
+    pruned = versions.new_versions(
+        incoming, relevant_history(stored, incoming, max_broadcast), also=[PARTITION_COLUMN]
+    )
+    whole = versions.new_versions(incoming, stored)
+    assert rows_of(pruned, *RAW_COLUMNS) == rows_of(whole, *RAW_COLUMNS)
+
+
+def test_no_history_is_read_for_an_empty_batch(spark):
+    stored = with_partition(raw(spark, ("A", "1", "t")))
+    assert relevant_history(stored, stored.limit(0)).count() == 0
+
+
+# --- skew helpers ---
+
+
+def test_salted_join_equals_the_plain_join(spark):
+    left = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}", i) for i in range(400)], "k string, v int")
+    right = spark.createDataFrame([("hot", "x"), ("k1", "y"), ("none", "z")], "k string, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, salted = left.join(right, ["k"], how), skew.salted_join(left, right, ["k"], how, ["v"], salts=4)
+        assert rows_of(salted, *plain.columns) == rows_of(plain, *plain.columns)
+
+
+def test_salts_spread_a_hot_key(spark):
+    df = spark.range(10_000).withColumn("_salt", skew.salt_of(["id"], 8))
+    assert df.groupBy("_salt").count().count() == 8
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 9, "k string")
+    assert [r.k for r in skew.hot_keys(df, ["k"], 4).collect()] == ["a"]
+    assert skew.hot_keys(df, ["k"], 5) is None
+
+
+def test_fits_broadcast(spark):
+    keys = spark.createDataFrame([("aaaa",), ("bbbb",), (None,)], "k string")
+    assert skew.fits_broadcast(keys)
+    assert not skew.fits_broadcast(keys, max_rows=2)
+    assert not skew.fits_broadcast(keys, max_bytes=7)
+    assert skew.fits_broadcast(keys.limit(0), max_rows=0)
+
+
+# --- counts and required columns ---
+
+
+def test_counts(spark):
+    assert counts.row_count(spark.range(7)) == 7
+    assert counts.any_rows(spark.range(7)) and not counts.any_rows(spark.range(0))
+    seen = Observation()
+    counts.counted(spark.range(7), seen).write.format("noop").mode("overwrite").save()
+    assert seen.get["rows"] == 7
+
+
+@pytest.mark.parametrize("column", RAW_COLUMNS)
+def test_enforce_stops_on_null(spark, column):
+    good = raw(spark, ("A", "1", "t"))
+    assert required.enforce(good, RAW_COLUMNS).count() == 1
+    bad = good.withColumn(column, F.lit(None).cast(good.schema[column].dataType))
+    with pytest.raises(Exception, match=f"required column {column} is NULL"):
+        required.enforce(bad, RAW_COLUMNS).collect()
+
+
+def test_split_sets_incomplete_rows_aside(spark):
+    df = spark.createDataFrame([("a", "b", 1), (None, "b", 2), (None, None, 3)], "x string, y string, n int")
+    good, bad = required.split(df, ["x", "y"])
+    assert [r.n for r in good.collect()] == [1]
+    assert rows_of(bad, "n", "missing") == Counter({(2, "x"): 1, (3, "x,y"): 1})
+
+
+# --- media ---
+
+
+PAGES = [
+    ("A", "1", "https://p/1", '<iframe src="https://www.youtube.com/embed/v1">'),
+    ("A", "2", "https://p/2", '<iframe src="https://www.youtube.com/watch?v=q">'),
+    ("A", "3", "https://p/3", "<p>none</p>"),
+    ("A", "4", "https://p/4", None),
+    ("A", "5", "", '<iframe src="https://www.youtube.com/embed/v5">'),
+    ("A", "6", None, '<iframe src="https://www.youtube.com/embed/v6">'),
+    ("A", None, "https://p/7", None),
+    ("B", "8", "https://p/8", None),
+]
+
+
+def test_page_outcomes(spark):
+    pages = spark.createDataFrame(PAGES, "advertiser_id string, creative_id string, creative_page_url string, html string")
+    outcomes = media.page_outcomes(media.pages_to_read(pages))
+    assert rows_of(outcomes, "creative_id", "outcome") == Counter(
+        [("1", "video"), ("2", "convert_failed"), ("3", "no_video"), ("4", "timeout"), ("5", "skipped"), ("8", "timeout")]
+    )
+    link = media.links(outcomes).first()
+    assert link.youtube_video_url == "https://www.youtube.com/embed/v1"
+    assert link.youtube_watch_url == "https://www.youtube.com/watch?v=v1"
+    assert rows_of(media.timeouts(outcomes), "creative_id", "youtube_video_url") == Counter([("4", None), ("8", None)])
+    assert tuple(media.counters(outcomes).first()) == (6, 6, 2, 2)
+    assert rows_of(media.counters(outcomes, "advertiser_id"), "*") == Counter([("A", 5, 5, 2, 1), ("B", 1, 1, 0, 1)])
+    assert names(media.pages_to_read(pages, "B")) == ["8"]
+
+
+# --- verification codes ---
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+CODES = "code_id int, email string, verification_code string, created_at timestamp"
+ATTEMPTS = "attempt_id int, email string, verification_code string, attempted_at timestamp"
+
+
+def expected_status(attempt, made):
+    number, email, code, at = attempt
+    if not email or not code:
+        return "missing_input"
+    known = [c for c in made if c[1] == email and c[3] is not None and at is not None and c[3] <= at]
+    if not known:
+        return "unknown_email"
+    newest = max(known, key=lambda c: (c[3], c[0]))
+    if newest[2] != code:
+        return "invalid_code"
+    return "expired" if at > newest[3] + timedelta(minutes=10) else "verified"
+
+
+def random_codes(seed, size):
+    pick = random.Random(seed)
+
+    def email():
+        return pick.choice(["hot@x.se"] * 6 + ["b@x.se", "c@x.se", "d@x.se", "", None])
+
+    def time(spread):
+        return START + timedelta(seconds=pick.randrange(spread), microseconds=pick.choice([0, 0, 1, 999_999]))
+
+    def code():
+        return pick.choice(["1", "2", "3"])
+
+    made = [(i, email(), pick.choice([code(), None]) if i % 9 == 0 else code(), time(4000)) for i in range(size)]
+    tried = [(i, pick.choice([email(), "ghost@x.se"]), pick.choice([code(), code(), ""]), time(6000)) for i in range(size)]
+    tried += [(size, "hot@x.se", None, START), (size + 1, "hot@x.se", "1", None)]
+    tried += [(size + 2 + i, "hot@x.se", "1", START + timedelta(seconds=100)) for i in range(20)]
+    made += [(size, "b@x.se", "1", None)]
+    return made, tried
+
+
+@pytest.mark.parametrize("hot_rows", [0, 30, 10**6])
+@pytest.mark.parametrize("seed", range(3))
+def test_check_codes_against_brute_force(spark, seed, hot_rows):
+    made, tried = random_codes(seed, 120)
+    got = codes.check_codes(
+        spark.createDataFrame(tried, ATTEMPTS), spark.createDataFrame(made, CODES), "code_id", hot_rows=hot_rows
+    )
+    assert got.columns == ["attempt_id", "email", "verification_code", "attempted_at", "status"]
+    assert rows_of(got, "attempt_id", "status") == Counter((a[0], expected_status(a, made)) for a in tried)
+
+
+def test_expiry_of_codes(spark):
+    made = [(1, "a@b.c", "1", START)]
+    tried = [
+        (1, "a@b.c", "1", START + timedelta(minutes=10)),
+        (2, "a@b.c", "1", START + timedelta(minutes=10, microseconds=1)),
+        (3, "a@b.c", "1", START - timedelta(microseconds=1)),
+        (4, "a@b.c", "1", START),
+    ]
+    got = codes.check_codes(spark.createDataFrame(tried, ATTEMPTS), spark.createDataFrame(made, CODES), "code_id")
+    assert rows_of(got, "attempt_id", "status") == Counter(
+        [(1, "verified"), (2, "expired"), (3, "unknown_email"), (4, "verified")]
+    )
+
+
+def test_latest_and_deleted_codes(spark):
+    made = spark.createDataFrame(
+        [(1, "a@b.c", "1", START), (2, "a@b.c", "2", START), (3, "d@e.f", "3", START), (4, None, "4", START)], CODES
+    )
+    assert rows_of(codes.latest_codes(made, "code_id").dropna(subset=["email"]), "email", "code_id") == Counter(
+        [("a@b.c", 2), ("d@e.f", 3)]
+    )
+    gone = spark.createDataFrame([("a@b.c",), ("a@b.c",), (None,), ("z@z.z",)], "email string")
+    assert sorted(r.code_id for r in codes.delete_codes(made, gone).collect()) == [3, 4]
