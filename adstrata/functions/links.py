@@ -30,12 +30,22 @@ def frame_pattern(host: str = VIDEO_HOST) -> str:
     return r"(?i:<iframe[^>]*\ssrc\s*=\s*)[\"']([^\"']*" + re.escape(host) + r"[^\"']*)[\"']"
 
 
-def video_frame(page_url: Column, html: Column, host: str = VIDEO_HOST) -> Column:
-    """The first frame of a page that comes from the host: the page itself, then iframes in order."""
-    # The plain substring test spares most pages the regular expressions.
-    source = F.regexp_extract(F.regexp_replace(html, COMMENT_PATTERN, ""), frame_pattern(host), 1)
-    framed = F.nullif(F.replace(source, F.lit("&amp;"), F.lit("&")), F.lit(""))
-    return F.when(mentions(page_url, host), page_url).when(mentions(html, host), framed)
+def frame_text(page_url: Column, html: Column, host: str = VIDEO_HOST) -> Column:
+    """The first frame of a page that comes from the host: the page itself, then iframes in order.
+
+    Empty or NULL when there is none.
+    """
+    # The plain substring tests spare most pages the regular expressions.
+    shown = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, COMMENT_PATTERN, "")).otherwise(html)
+    source = F.regexp_extract(shown, frame_pattern(host), 1)
+    return F.when(mentions(page_url, host), page_url).when(
+        mentions(html, host), F.replace(source, F.lit("&amp;"), F.lit("&"))
+    )
+
+
+def filled(text: Column) -> Column:
+    """The text, with NULL for an empty one."""
+    return F.nullif(text, F.lit(""))
 
 
 def url_segment(url: Column, position: int = 4) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adstrata.functions.dates import parse_day, utc_midnight
 from adstrata.functions.records import json_text, record_struct
 from adstrata.functions.regions import market_entries, single
+from adstrata.functions.values import once
 from adstrata.operators.selection import in_market
 from adstrata.schemas import RAW_COLUMNS
 
@@ -24,7 +25,7 @@ def market_records(source: DataFrame, market: str, strict: bool = True) -> DataF
     return (
         in_market(source, market)
         .withColumn("region_stats", entries)
-        .withColumn("_entry", single(F.col("region_stats"), strict))
+        .withColumn("_entry", once(single(F.col("region_stats"), strict)))
         .withColumn("first_shown_date", parse_day(entry["first_shown"], strict))
         .withColumn("last_shown_date", parse_day(entry["last_shown"], strict))
         .drop("_entry")

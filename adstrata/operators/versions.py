@@ -11,17 +11,27 @@ from adstrata.operators.skew import HOT_ROWS, hot_keys
 from adstrata.schemas import CREATIVE_KEY, VERSION_KEY
 
 
-def new_versions(incoming: DataFrame, existing: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+def new_versions(
+    incoming: DataFrame, existing: DataFrame, also: Sequence[str] = (), hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """The incoming rows whose advertiser, creative and text are not in the existing rows.
 
     Equal incoming rows are all kept (see `drop_repeats`), and so are rows with a NULL key. `also`
     names further columns that equal texts are known to share, such as the partition column.
 
-    Copies among the existing rows are collapsed before the shuffle; a hot key on the incoming side
-    is split by the skew join.
+    Both sides meet in one shuffle on the whole key. Incoming copies of one version are split by the
+    skew join, which cannot split the other side: existing creatives with more than `hot_rows` rows
+    are reduced to their distinct versions first. (Reducing all of them would cost a second pass over
+    every text, and hide the shuffle from the skew join.)
     """
     keys = [*VERSION_KEY, *also]
-    return incoming.join(existing.select(keys).distinct(), keys, "left_anti").select(incoming.columns)
+    known = existing.select(keys)
+    hot = hot_keys(existing, CREATIVE_KEY, hot_rows)
+    if hot is not None:
+        creative = list(CREATIVE_KEY)
+        large = known.join(F.broadcast(hot), creative, "left_semi").distinct()
+        known = known.join(F.broadcast(hot), creative, "left_anti").unionByName(large)
+    return incoming.join(known, keys, "left_anti").select(incoming.columns)
 
 
 def drop_repeats(incoming: DataFrame) -> DataFrame:

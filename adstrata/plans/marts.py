@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,16 @@ def record_schema(source_schema: T.StructType) -> T.StructType:
     return T.StructType([source_schema[name] for name in RECORD_FIELDS])
 
 
-def staging(raw: DataFrame, schema: T.StructType) -> DataFrame:
+# What the mart needs of a record; the other fields are not parsed for it.
+MART_FIELDS = ("advertiser_id", "creative_id", "ad_format_type", "region_stats")
+
+
+def staging(raw: DataFrame, schema: T.StructType, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
     """The stored texts parsed back to typed columns, with the market's first and last day."""
     entry = F.get("region_stats", F.lit(0))
+    wanted = T.StructType([schema[name] for name in fields])
     return (
-        raw.select("data_modified", "metadata_time", F.from_json("raw_data", schema).alias("record"))
+        raw.select("data_modified", "metadata_time", F.from_json("raw_data", wanted).alias("record"))
         .select("data_modified", "metadata_time", "record.*")
         .withColumn("first_shown_date", parse_day(entry["first_shown"], strict=False))
         .withColumn("last_shown_date", parse_day(entry["last_shown"], strict=False))

@@ -19,7 +19,7 @@ from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
 from adstrata.plans.media import advertiser_ids_of_links
 from adstrata.samples import MARKET, REFRESH_TIME
-from adstrata.schemas import PARTITION_COLUMN
+from adstrata.schemas import PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import staging_path
 from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, with_partition
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
@@ -288,9 +288,9 @@ def required_columns_quarantine(spark, sf_dir):
     return incomplete.select("advertiser_id", "creative_id", "missing")
 
 
-def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _staged(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     schema = marts.record_schema(samples.creative_stats(spark, sf_dir).schema)
-    return marts.staging(samples.raw_versions(spark, sf_dir), schema)
+    return marts.staging(samples.raw_versions(spark, sf_dir), schema, fields or RECORD_FIELDS)
 
 
 @query
@@ -336,7 +336,7 @@ def version_history(spark, sf_dir):
 @query
 def mart_creatives(spark, sf_dir):
     """Creatives, versions and days shown per advertiser and format."""
-    mart = marts.creatives_mart(_staged(spark, sf_dir))
+    mart = marts.creatives_mart(_staged(spark, sf_dir, *marts.MART_FIELDS))
     return mart.withColumns(
         {
             "first_shown_date": F.col("first_shown_date").cast("string"),

@@ -5,7 +5,7 @@ from builders import MARKET, creative, source
 from pyspark.sql import functions as F
 
 from adstrata.functions.dates import as_day, is_day_text, look_back, parse_day, utc_day, utc_midnight, yesterday
-from adstrata.functions.links import url_segment, video_frame, watch_url
+from adstrata.functions.links import filled, frame_text, url_segment, watch_url
 from adstrata.functions.records import json_text, record_struct
 from adstrata.functions.regions import market_entries, shown_in, single
 from adstrata.functions.text import is_email
@@ -158,12 +158,12 @@ FRAMES = [
 
 @pytest.mark.parametrize("page, html, expected", FRAMES)
 def test_video_frame(values, page, html, expected):
-    assert values(video_frame(F.col("u"), F.col("h")), "u string, h string", [(page, html)]) == [expected]
+    assert values(filled(frame_text(F.col("u"), F.col("h"))), "u string, h string", [(page, html)]) == [expected]
 
 
 def test_video_frame_reads_the_whole_page(values):
     html = "<p>x</p>" * 200_000 + '<iframe src="https://youtube.com/embed/late">'
-    assert values(video_frame(F.col("u"), F.col("h")), "u string, h string", [(PAGE, html)]) == [
+    assert values(frame_text(F.col("u"), F.col("h")), "u string, h string", [(PAGE, html)]) == [
         "https://youtube.com/embed/late"
     ]
 

@@ -143,12 +143,14 @@ def test_lower_case_columns_keep_the_last_of_a_collision(spark):
 # --- versions ---
 
 
-def test_new_versions(spark):
+@pytest.mark.parametrize("hot_rows", [0, 1, 10**6])
+def test_new_versions(spark, hot_rows):
     existing = raw(spark, ("A", "1", "same"), ("A", "2", "old"), ("A", "1", "same"))
     incoming = raw(
         spark, ("A", "1", "same"), ("A", "2", "new"), ("B", "1", "same"), ("A", "3", "twice"), ("A", "3", "twice")
     )
-    got = rows_of(versions.new_versions(incoming, existing), "advertiser_id", "creative_id", "raw_data")
+    fresh = versions.new_versions(incoming, existing, hot_rows=hot_rows)
+    got = rows_of(fresh, "advertiser_id", "creative_id", "raw_data")
     assert got == Counter({("A", "2", "new"): 1, ("B", "1", "same"): 1, ("A", "3", "twice"): 2})
     dropped = versions.new_versions(versions.drop_repeats(incoming), existing)
     assert dropped.count() == 3
@@ -161,6 +163,43 @@ def test_new_versions_keep_rows_with_null_keys(spark):
     assert versions.new_versions(df, df).count() == 3
 
 
+@pytest.fixture
+def low_skew_limits(spark):
+    """Makes a small join skewed enough to be split."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_copies_of_one_version_are_split_over_tasks(spark, low_skew_limits):
+    one = F.col("id") % 3 == 0
+    incoming = spark.range(0, 60_000, 1, 8).select(
+        F.when(one, "hot").otherwise(F.concat(F.lit("A"), F.col("id"))).alias("advertiser_id"),
+        F.lit("C").alias("creative_id"),
+        F.when(one, "same").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("raw_data"),
+        F.xxhash64("id").alias("payload"),
+    )
+    ordinary = incoming.filter("advertiser_id <> 'hot'")
+    fresh = versions.new_versions(incoming, ordinary)
+    execution = fresh._jdf.queryExecution()
+    assert len(execution.executedPlan().executeCollect()) == 20_000
+    assert "skew=true" in execution.executedPlan().toString()
+    # The same with the hot version among the existing rows, reduced to one row before the join.
+    half = incoming.filter("payload % 2 = 0")
+    expected = ordinary.join(half.select("advertiser_id").distinct(), "advertiser_id", "left_anti").count()
+    assert versions.new_versions(incoming, half, hot_rows=1000).count() == expected
+
+
 def test_empty_existing(spark):
     incoming = raw(spark, ("A", "1", "t"))
     assert versions.new_versions(incoming, incoming.limit(0)).count() == 1
