@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adstrata.operators.skew import HOT_ROWS, hot_keys, salted_join
 from adstrata.operators.versions import newest_per_key
+from adstrata.session import stage
 
 # Fixed value: a code is valid up to and including this many minutes after it was made.
 EXPIRY_MINUTES = 10
@@ -92,14 +93,12 @@ def _carried_by_minute(attempts: DataFrame, known: DataFrame) -> DataFrame:
     address at most the minutes it spans. The code is carried within each minute, then from minute to
     minute, and the result joined to the attempts with each instant spread over several tasks.
     """
-    instants = (
-        known.groupBy("email", "_at").agg(F.max("_code").alias("_code"))
-        .unionByName(
-            attempts.select("email", F.col("attempted_at").alias("_at")).dropna().distinct(),
-            allowMissingColumns=True,
-        )
-        .withColumn("_minute", F.date_trunc("minute", "_at"))
+    asked = attempts.select("email", F.col("attempted_at").alias("_at")).dropna().distinct()
+    timeline = known.groupBy("email", "_at").agg(F.max("_code").alias("_code")).unionByName(
+        asked, allowMissingColumns=True
     )
+    # Used twice below, so written out.
+    instants = stage(timeline.withColumn("_minute", F.date_trunc("minute", "_at")), "instants")
     within = (
         Window.partitionBy("email", "_minute")
         .orderBy("_at", F.col("_code").isNull())

@@ -119,6 +119,11 @@ select job, cast(rows_added as bigint) rows_added, case when gate=0 then 'NO_DAT
   union all select 'refresh_targeted', 1, targeted, 'NO_NEW_UPDATES' from n
   union all select 'backfill_known', known_gate, 0, 'INCOMPLETE_INSERTION' from n) r"""
 
+_CODE_CHECK = """select attempt_id, email, case when stored_code is null then 'unknown_email' when stored_code<>verification_code then 'invalid_code'
+  when attempted_at > created_at + interval 10 minutes then 'expired' else 'verified' end status from (
+  select a.*, c.verification_code stored_code, c.created_at, row_number() over (partition by a.attempt_id order by c.created_at desc, c.code_id desc) rn
+  from attempts a left join codes c on a.email=c.email and c.created_at<=a.attempted_at) j where rn=1"""
+
 _MISSING = ["advertiser_id", "creative_id", "advertiser_legal_name", "region_stats"]
 
 # Query name -> (relations it starts from, SQL). SQL that starts with a comma continues the WITH list.
@@ -129,6 +134,20 @@ _QUERIES = {
         "select creative_id, coalesce(len(region_stats),0) regions from creative_stats "
         "where not coalesce(len(list_filter(region_stats, lambda x: x.region_code='EUROPE'))>0, false)",
     ),
+    "repeated_entries": (
+        ["creative_stats"],
+        """select creative_id, len(e) entries, case when len(e)=1 then e[1].first_shown end first_shown from (
+  select creative_id, list_filter(case when is_funded_by_google_ad_grants then list_concat(region_stats, region_stats) else region_stats end,
+    lambda x: x.region_code='EUROPE') e from creative_stats where advertiser_location='EUROPE') m where len(e)>0""",
+    ),
+    "parsed_days": (
+        [],
+        """select o_orderkey, day_text, case when regexp_matches(day_text,'^[0-9]{4}-[0-9]{2}-[0-9]{2}$') then cast(try_cast(day_text as date) as varchar) end parsed,
+  cast(coalesce(regexp_matches(day_text,'^[0-9]{4}-[0-9]{2}-[0-9]{2}$'), false) as int) shaped from (
+  select o_orderkey, case o_orderkey%6 when 0 then d when 1 then year(o_orderdate)||'-'||month(o_orderdate)||'-'||day(o_orderdate)
+    when 2 then d||' ' when 3 then d[1:5]||'13'||d[8:] when 4 then d||'T00' end day_text
+  from (select o_orderkey, o_orderdate, strftime(o_orderdate,'%Y-%m-%d') d from orders) o) t""",
+    ),
     "ingest_tracked_all": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "stream_ingest": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "ingest_window_last_shown": (
@@ -166,6 +185,11 @@ _QUERIES = {
     "media_outcomes": (["outcomes"], "select * from outcomes"),
     "media_links": (["outcomes"], "select * exclude (outcome) from outcomes where outcome='video'"),
     "media_timeouts": (["outcomes"], "select * exclude (outcome) from outcomes where outcome='timeout'"),
+    "media_routed": (
+        ["outcomes"],
+        """select creative_id, case when outcome='video' then youtube_watch_url end youtube_watch_url, case when outcome='video' then 'links' else 'timeouts' end routed_to,
+  (select count(*) from outcomes where outcome in ('video','convert_failed')) found from outcomes where outcome in ('video','timeout')""",
+    ),
     "media_counters": (
         ["outcomes"],
         "select advertiser_id, count(*) total_rows, count(*) total_urls_processed, "
@@ -189,13 +213,8 @@ _QUERIES = {
         "select email, code_id, verification_code from (select *, row_number() over "
         "(partition by email order by created_at desc, code_id desc) rn from codes) c where rn=1",
     ),
-    "code_check": (
-        ["codes", "attempts"],
-        """select attempt_id, email, case when stored_code is null then 'unknown_email' when stored_code<>verification_code then 'invalid_code'
-  when attempted_at > created_at + interval 10 minutes then 'expired' else 'verified' end status from (
-  select a.*, c.verification_code stored_code, c.created_at, row_number() over (partition by a.attempt_id order by c.created_at desc, c.code_id desc) rn
-  from attempts a left join codes c on a.email=c.email and c.created_at<=a.attempted_at) j where rn=1""",
-    ),
+    "code_check": (["codes", "attempts"], _CODE_CHECK),
+    "stream_code_check": (["codes", "attempts"], _CODE_CHECK),
     "code_delete": (
         ["codes"],
         "select code_id, email, verification_code from codes where email not in (select 'user'||cast(user_id as varchar)||'@example.com' "

@@ -1,14 +1,16 @@
-"""Storing verification codes."""
+"""Storing and deleting verification codes."""
 
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adstrata.operators.codes import delete_codes
 from adstrata.schemas import CODE_SCHEMA
-from adstrata.sources.tables import TableRef, append
+from adstrata.sources.tables import TableRef, append, move_to
 
 log = logging.getLogger(__name__)
 
@@ -29,3 +31,15 @@ def store_code(
     """Append one code, made now unless told otherwise."""
     row = (email, verification_code, created_at or datetime.now(timezone.utc))
     return store_codes(spark.createDataFrame([row], "email string, verification_code string, created_at timestamp"), table)
+
+
+def forget_codes(emails: DataFrame, table: TableRef, folder: str) -> TableRef:
+    """Delete the codes of the given addresses.
+
+    The rows left are written to a new folder under `folder`, and the table is then pointed at it, so
+    readers see the table before or after the deletion. Returns the table at its new place.
+    """
+    spark = emails.sparkSession
+    place = f"{folder.rstrip('/')}/{table.name}-{uuid.uuid4().hex}"
+    delete_codes(table.read(spark), emails).write.parquet(place)
+    return move_to(spark, table, place)

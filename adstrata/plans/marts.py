@@ -23,14 +23,22 @@ MART_FIELDS = ("advertiser_id", "creative_id", "ad_format_type", "region_stats")
 
 
 def staging(raw: DataFrame, schema: T.StructType, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
-    """The stored texts parsed back to typed columns, with the market's first and last day."""
-    entry = F.get("region_stats", F.lit(0))
+    """The stored texts parsed back to typed columns, with the market's first and last day if there are regions.
+
+    Any table of JSON texts will do, given the schema of its records.
+    """
     wanted = T.StructType([schema[name] for name in fields])
-    return (
-        raw.select("data_modified", "metadata_time", F.from_json("raw_data", wanted).alias("record"))
-        .select("data_modified", "metadata_time", "record.*")
-        .withColumn("first_shown_date", parse_day(entry["first_shown"], strict=False))
-        .withColumn("last_shown_date", parse_day(entry["last_shown"], strict=False))
+    typed = raw.select(
+        "data_modified", "metadata_time", F.from_json("raw_data", wanted).alias("record")
+    ).select("data_modified", "metadata_time", "record.*")
+    if "region_stats" not in fields:
+        return typed
+    entry = F.get("region_stats", F.lit(0))
+    return typed.withColumns(
+        {
+            "first_shown_date": parse_day(entry["first_shown"], strict=False),
+            "last_shown_date": parse_day(entry["last_shown"], strict=False),
+        }
     )
 
 

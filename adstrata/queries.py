@@ -10,18 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstrata import samples
-from adstrata.functions.dates import look_back, utc_day
+from adstrata.functions.dates import is_day_text, look_back, parse_day, utc_day
 from adstrata.functions.regions import shown_in
 from adstrata.functions.text import is_email
 from adstrata.operators import codes, media, required, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
 from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
-from adstrata.plans.media import advertiser_ids_of_links
+from adstrata.plans.media import advertiser_ids_of_links, media_links_job
 from adstrata.samples import MARKET, REFRESH_TIME
 from adstrata.schemas import PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import staging_path
 from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, with_partition
+from adstrata.streaming.codes import check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,38 @@ def not_shown_in_market(spark, sf_dir):
     )
 
 
+@query
+def repeated_entries(spark, sf_dir):
+    """Records with two entries for the market have no day; the others keep theirs."""
+    twice = F.when(F.col("is_funded_by_google_ad_grants"), F.concat("region_stats", "region_stats"))
+    source = samples.creative_stats(spark, sf_dir).withColumn("region_stats", F.coalesce(twice, "region_stats"))
+    return market_records(source, MARKET, strict=False).select(
+        "creative_id",
+        F.size("region_stats").cast("long").alias("entries"),
+        F.col("first_shown_date").cast("string").alias("first_shown"),
+    )
+
+
+@query
+def parsed_days(spark, sf_dir):
+    """Day texts, good and bad, parsed without failing."""
+    day, case = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 6
+    text = (
+        F.when(case == 0, day)
+        .when(case == 1, F.date_format("o_orderdate", "yyyy-M-d"))
+        .when(case == 2, F.concat(day, F.lit(" ")))
+        .when(case == 3, F.overlay(day, F.lit("13"), F.lit(6)))
+        .when(case == 4, F.concat(day, F.lit("T00")))
+    )
+    orders = samples.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day_text"))
+    return orders.withColumns(
+        {
+            "parsed": parse_day(F.col("day_text"), strict=False).cast("string"),
+            "shaped": F.coalesce(is_day_text(F.col("day_text")), F.lit(False)).cast("int"),
+        }
+    )
+
+
 @query
 def ingest_tracked_all(spark, sf_dir):
     """New versions of all tracked advertisers' creatives."""
@@ -224,6 +257,23 @@ def media_counters(spark, sf_dir):
     return media.counters(_outcomes(spark, sf_dir), "advertiser_id")
 
 
+@query
+def media_routed(spark, sf_dir):
+    """The whole media job: the rows it put in each table, and its counters."""
+    links, timeouts = _scratch_table(spark, "links"), _scratch_table(spark, "timeouts")
+    result = media_links_job(spark, samples.creative_pages(spark, sf_dir), links, timeouts)
+    routed = (
+        links.read(spark).withColumn("routed_to", F.lit("links"))
+        .unionByName(timeouts.read(spark).withColumn("routed_to", F.lit("timeouts")))
+    )
+    return routed.select(
+        "creative_id",
+        "youtube_watch_url",
+        "routed_to",
+        F.lit(result.successful_scrapes).cast("long").alias("found"),
+    )
+
+
 @query
 def advertiser_from_url(spark, sf_dir):
     urls = samples.creative_stats(spark, sf_dir).select(F.col("creative_page_url").alias("url"))
@@ -270,6 +320,20 @@ def code_check(spark, sf_dir):
     return checked.select("attempt_id", "email", "status")
 
 
+@query
+def stream_code_check(spark, sf_dir):
+    """The same check of attempts that arrive as a stream of files."""
+    folder, results = staging_path(spark, "attempts"), _scratch_table(spark, "checked")
+    attempts = samples.verification_attempts(spark, sf_dir)
+    attempts.repartition(4, "email").write.parquet(folder)
+    stream = spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    known = samples.verification_codes(spark, sf_dir)
+    check_stream(
+        stream, lambda: known, results, staging_path(spark, "stream"), tiebreak="code_id"
+    ).awaitTermination()
+    return results.read(spark).select("attempt_id", "email", "status")
+
+
 @query
 def code_delete(spark, sf_dir):
     """The codes left once the addresses of accounts with a late error are deleted."""

@@ -309,6 +309,26 @@ def test_store_codes(spark, new_table):
     assert table.read(spark).count() == 1
 
 
+def test_forget_codes(spark, new_table, tmp_path):
+    table = new_table("codes")
+    for email in ("a@b.c", "a@b.c", "d@e.f"):
+        assert code_plans.store_code(spark, table, email, "1")
+    gone = spark.createDataFrame([("a@b.c",), (None,)], "email string")
+    moved = code_plans.forget_codes(gone, table, str(tmp_path))
+    assert [r.email for r in moved.read(spark).collect()] == ["d@e.f"]
+    assert code_plans.store_code(spark, moved, "a@b.c", "2")
+    assert moved.read(spark).count() == table.read(spark).count() == 2
+
+
+def test_staging_of_another_source(spark):
+    texts = spark.createDataFrame([('{"page":"p","likes":3}',)], "raw_data string").select(
+        F.current_timestamp().alias("data_modified"), F.current_timestamp().alias("metadata_time"), "raw_data"
+    )
+    schema = spark.createDataFrame([], "page string, likes int").schema
+    row = marts.staging(texts, schema, ["page", "likes"]).first()
+    assert (row.page, row.likes) == ("p", 3)
+
+
 def test_staging_and_mart(spark, new_table):
     first = source(spark, on("2024-01-05", "2024-01-09"), on("2024-01-02", "2024-01-03", number="CR2"))
     second = source(spark, on("2024-01-05", "2024-02-01"))
