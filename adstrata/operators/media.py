@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstrata.functions.links import VIDEO_HOST, filled, frame_text, watch_url
+from adstrata.functions.links import VIDEO_HOST, video_frame, watch_url
 from adstrata.functions.values import once
 from adstrata.schemas import LINK_SCHEMA, PAGE_COLUMNS
 
@@ -24,12 +24,10 @@ def page_outcomes(pages: DataFrame, host: str = VIDEO_HOST) -> DataFrame:
     host. convert_failed: a frame without a video id. video: the rest.
     """
     address = F.length("creative_page_url") > 0
-    frame = frame_text(F.col("creative_page_url"), F.col("html"), host)
-    fetched = (
-        pages.withColumn("_frame", once(F.when(address & F.col("html").isNotNull(), frame)))
-        .withColumn("youtube_video_url", filled(F.col("_frame")))
-        .withColumn("youtube_watch_url", watch_url(F.col("youtube_video_url")))
-    )
+    frame = video_frame(F.col("creative_page_url"), F.col("html"), host)
+    fetched = pages.withColumn(
+        "youtube_video_url", once(F.when(address & F.col("html").isNotNull(), frame))
+    ).withColumn("youtube_watch_url", watch_url(F.col("youtube_video_url")))
     outcome = (
         F.when(~address, "skipped")
         .when(F.col("html").isNull(), "timeout")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adstrata.operators.skew import HOT_ROWS, hot_keys
 from adstrata.schemas import CREATIVE_KEY, VERSION_KEY
+from adstrata.session import stage
 
 
 def new_versions(
@@ -66,6 +67,7 @@ def version_history(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     if hot is None:
         return _numbered(versions)
     key = list(CREATIVE_KEY)
+    versions = stage(versions, "versions")  # The digests: the texts are then read only once.
     ordinary = versions.join(F.broadcast(hot), key, "left_anti")
     large = versions.join(F.broadcast(hot), key, "left_semi")
     return _numbered(ordinary).unionByName(_numbered_in_pieces(large))

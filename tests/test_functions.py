@@ -5,7 +5,7 @@ from builders import MARKET, creative, source
 from pyspark.sql import functions as F
 
 from adstrata.functions.dates import as_day, is_day_text, look_back, parse_day, utc_day, utc_midnight, yesterday
-from adstrata.functions.links import filled, frame_text, url_segment, watch_url
+from adstrata.functions.links import url_segment, video_frame, watch_url
 from adstrata.functions.records import json_text, record_struct
 from adstrata.functions.regions import market_entries, shown_in, single
 from adstrata.functions.text import is_email
@@ -147,6 +147,12 @@ FRAMES = [
     (PAGE, '<iframe src="https://x.example/"></iframe><iframe id=v src="//youtube.com/embed/c">', "//youtube.com/embed/c"),
     (PAGE, '<iframe src="https://youtube.com/embed/1"><iframe src="https://youtube.com/embed/2">', "https://youtube.com/embed/1"),
     (PAGE, '<!-- <iframe src="https://youtube.com/embed/1"> --><iframe src="https://youtube.com/embed/2">', "https://youtube.com/embed/2"),
+    (PAGE, '<!-- a --><!-- <iframe src="https://youtube.com/embed/1">', None),
+    (PAGE, 'stray --> <iframe src="https://youtube.com/embed/1">', "https://youtube.com/embed/1"),
+    (PAGE, '<iframes src="https://youtube.com/embed/1">', None),
+    (PAGE, '<iframe><a src="https://youtube.com/embed/1">', None),
+    (PAGE, '<img src="https://youtube.com/x.png"><iframe src="https://x.example">', None),
+    (PAGE, '<iframe src="https://x.example/?u=youtube.com">', "https://x.example/?u=youtube.com"),
     (PAGE, '<iframe data-src="https://youtube.com/embed/1">', None),
     (PAGE, '<a href="https://youtube.com/embed/1">', None),
     (PAGE, '<iframe src="https://YouTube.com/embed/1">', None),
@@ -158,16 +164,22 @@ FRAMES = [
 
 @pytest.mark.parametrize("page, html, expected", FRAMES)
 def test_video_frame(values, page, html, expected):
-    assert values(filled(frame_text(F.col("u"), F.col("h"))), "u string, h string", [(page, html)]) == [expected]
+    assert values(video_frame(F.col("u"), F.col("h")), "u string, h string", [(page, html)]) == [expected]
 
 
 def test_video_frame_reads_the_whole_page(values):
     html = "<p>x</p>" * 200_000 + '<iframe src="https://youtube.com/embed/late">'
-    assert values(frame_text(F.col("u"), F.col("h")), "u string, h string", [(PAGE, html)]) == [
+    assert values(video_frame(F.col("u"), F.col("h")), "u string, h string", [(PAGE, html)]) == [
         "https://youtube.com/embed/late"
     ]
 
 
+@pytest.mark.parametrize("piece", ["<!-- ", "<iframe ", "<iframe src ", "--> "])
+def test_video_frame_is_quick_on_odd_pages(values, piece):
+    html = "youtube.com " + piece * 200_000
+    assert values(video_frame(F.col("u"), F.col("h")), "u string, h string", [(PAGE, html)]) == [None]
+
+
 def test_url_segment(values):
     got = texts(values, url_segment(F.col("t")), "https://h/a/b/c", "https://h/a/b", "https://h/a", None)
     assert got == ["b", "b", None, None]
