@@ -32,6 +32,17 @@ def market_records(source: DataFrame, market: str, strict: bool = True) -> DataF
     )
 
 
+def unusable_records(source: DataFrame, market: str) -> DataFrame:
+    """The market's records that a strict load stops at and a lenient one leaves out, and why."""
+    records = market_records(source, market, strict=False)
+    reason = (
+        F.when(F.size("region_stats") > 1, "more than one entry")
+        .when(F.col("first_shown_date").isNull(), "first_shown")
+        .when(F.col("last_shown_date").isNull(), "last_shown")
+    )
+    return records.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def raw_rows(records: DataFrame, ingest_time: datetime | None = None) -> DataFrame:
     """The raw-table rows of market records."""
     loaded = F.current_timestamp() if ingest_time is None else F.lit(ingest_time).cast("timestamp")

@@ -23,7 +23,7 @@ def id_list(ids: str | Iterable[str] | None) -> list[str]:
     if ids is None:
         return []
     if isinstance(ids, str):
-        return [ids]
+        return [ids] if ids else []
     return sorted({i for i in ids if i is not None})
 
 

@@ -140,6 +140,13 @@ _QUERIES = {
   select creative_id, list_filter(case when is_funded_by_google_ad_grants then list_concat(region_stats, region_stats) else region_stats end,
     lambda x: x.region_code='EUROPE') e from creative_stats where advertiser_location='EUROPE') m where len(e)>0""",
     ),
+    "unusable_records": (
+        ["creative_stats"],
+        """select * from (select advertiser_id, creative_id, case when is_funded_by_google_ad_grants then 'more than one entry'
+    when s='F' and contains(e.first_shown,'-0') then 'first_shown' when s='P' then 'last_shown' end reason
+  from (select *, advertiser_verification_status s, (list_filter(region_stats, lambda x: x.region_code='EUROPE'))[1] e
+    from creative_stats where advertiser_location='EUROPE') m where e is not null) r where reason is not null""",
+    ),
     "parsed_days": (
         [],
         """select o_orderkey, day_text, case when regexp_matches(day_text,'^[0-9]{4}-[0-9]{2}-[0-9]{2}$') then cast(try_cast(day_text as date) as varchar) end parsed,

@@ -13,7 +13,7 @@ from adstrata import samples
 from adstrata.functions.dates import is_day_text, look_back, parse_day, utc_day
 from adstrata.functions.regions import shown_in
 from adstrata.functions.text import is_email
-from adstrata.operators import codes, media, required, versions
+from adstrata.operators import codes, media, projection, required, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
 from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
@@ -95,6 +95,26 @@ def repeated_entries(spark, sf_dir):
     )
 
 
+@query
+def unusable_records(spark, sf_dir):
+    """Records set aside: some with a repeated entry, some with an unpadded or missing day."""
+    status = F.col("advertiser_verification_status")
+
+    def damaged(entry):
+        first = F.when(status == "F", F.replace(entry["first_shown"], F.lit("-0"), F.lit("-")))
+        last = F.when(status != "P", entry["last_shown"])
+        return F.struct(
+            entry["region_code"].alias("region_code"),
+            F.coalesce(first, entry["first_shown"]).alias("first_shown"),
+            last.alias("last_shown"),
+        )
+
+    regions = F.transform("region_stats", damaged)
+    twice = F.when(F.col("is_funded_by_google_ad_grants"), F.concat(regions, regions))
+    source = samples.creative_stats(spark, sf_dir).withColumn("region_stats", F.coalesce(twice, regions))
+    return projection.unusable_records(source, MARKET).select("advertiser_id", "creative_id", "reason")
+
+
 @query
 def parsed_days(spark, sf_dir):
     """Day texts, good and bad, parsed without failing."""

@@ -8,7 +8,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from adstrata.operators import codes, counts, media, required, skew, versions
-from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
+from adstrata.operators.projection import lower_case_columns, market_records, raw_rows, unusable_records
 from adstrata.operators.pruning import relevant_history
 from adstrata.operators.selection import between_days, id_list, in_market, listed, lookup, targeted
 from adstrata.schemas import PARTITION_COLUMN, RAW_COLUMNS
@@ -29,7 +29,7 @@ def names(df, column="creative_id"):
 def test_id_list():
     assert id_list("a") == ["a"]
     assert id_list(["b", "a", "b", None]) == ["a", "b"]
-    assert id_list(None) == []
+    assert id_list(None) == id_list("") == id_list([]) == []
 
 
 @pytest.fixture
@@ -117,6 +117,20 @@ def test_market_records_strict_and_lenient(spark):
     assert market_records(source(spark, other), MARKET).count() == 0
 
 
+def test_unusable_records(spark):
+    df = source(
+        spark,
+        creative(number="good"),
+        creative(number="two", regions=((MARKET, "2024-01-05", "2024-01-09"), (MARKET, "2024-02-05", "2024-02-09"))),
+        creative(number="first", regions=((MARKET, "2024-1-5", "2024-01-09"),)),
+        creative(number="last", regions=((MARKET, "2024-01-05", None),)),
+        creative(number="other", location="NO", regions=((MARKET, "bad", "bad"),)),
+    )
+    assert rows_of(unusable_records(df, MARKET), "creative_id", "reason") == Counter(
+        [("two", "more than one entry"), ("first", "first_shown"), ("last", "last_shown")]
+    )
+
+
 def test_raw_rows(spark):
     when = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
     row = raw_rows(market_records(source(spark, creative()), MARKET), when).select(
