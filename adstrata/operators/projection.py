@@ -12,7 +12,6 @@ from adstrata.functions.records import json_text, record_struct
 from adstrata.functions.regions import market_entries, single
 from adstrata.functions.values import once
 from adstrata.operators.selection import in_market
-from adstrata.schemas import RAW_COLUMNS
 
 
 def market_records(source: DataFrame, market: str, strict: bool = True) -> DataFrame:
@@ -26,9 +25,11 @@ def market_records(source: DataFrame, market: str, strict: bool = True) -> DataF
         in_market(source, market)
         .withColumn("region_stats", entries)
         .withColumn("_entry", once(single(F.col("region_stats"), strict)))
-        .withColumn("first_shown_date", parse_day(entry["first_shown"], strict))
-        .withColumn("last_shown_date", parse_day(entry["last_shown"], strict))
-        .drop("_entry")
+        .select(
+            *source.columns,
+            parse_day(entry["first_shown"], strict).alias("first_shown_date"),
+            parse_day(entry["last_shown"], strict).alias("last_shown_date"),
+        )
     )
 
 
@@ -52,7 +53,7 @@ def raw_rows(records: DataFrame, ingest_time: datetime | None = None) -> DataFra
         "advertiser_id",
         "creative_id",
         json_text(record_struct(F.col("region_stats"))).alias("raw_data"),
-    ).select(*RAW_COLUMNS)
+    )
 
 
 def lower_case_columns(df: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def columns_to_spread(df: DataFrame) -> list[str]:
 
 def in_market(df: DataFrame, market: str) -> DataFrame:
     """Records of advertisers located in the market that were shown there."""
-    return df.filter(F.col("advertiser_location") == market).filter(shown_in(F.col("region_stats"), market))
+    return df.filter((F.col("advertiser_location") == market) & shown_in(F.col("region_stats"), market))
 
 
 def between_days(df: DataFrame, column: str, start: date | str, end: date | str) -> DataFrame:

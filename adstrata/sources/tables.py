@@ -68,7 +68,7 @@ def ensure_raw_table(spark: SparkSession, raw: TableRef) -> IngestStatus:
 
 def with_partition(rows: DataFrame, granularity: str = "day") -> DataFrame:
     """Raw-table rows with the column the table is partitioned by."""
-    return rows.select(*RAW_COLUMNS).withColumn(PARTITION_COLUMN, utc_day(F.col("data_modified"), granularity))
+    return rows.select(*RAW_COLUMNS, utc_day(F.col("data_modified"), granularity).alias(PARTITION_COLUMN))
 
 
 def laid_out(rows: DataFrame) -> DataFrame:

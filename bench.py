@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
-The source and raw tables are made first and not timed. Each query is run twice to warm up, then
-BENCH_RUNS times; the median counts.
+The source and raw tables are made first and not timed. All queries are run twice to warm up, then
+BENCH_RUNS times in turn; the median of each counts.
 """
 
 from __future__ import annotations
@@ -50,14 +50,14 @@ def main() -> None:
     start = time.perf_counter()
     samples.raw_versions(spark, sf_dir)
     setup = time.perf_counter() - start
-    registered, times = queries.registered(), {}
-    for name in HEADLINES:
-        taken = []
-        for _ in range(runs + WARM_UP):
+    registered = queries.registered()
+    taken: dict[str, list[float]] = {name: [] for name in HEADLINES}
+    for _ in range(WARM_UP + runs):
+        for name in HEADLINES:
             start = time.perf_counter()
             registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
-        times[name] = round(statistics.median(taken[WARM_UP:]), 3)
+            taken[name].append(time.perf_counter() - start)
+    times = {name: round(statistics.median(seconds[WARM_UP:]), 3) for name, seconds in taken.items()}
     report = {
         "metric": "sum of median query times",
         "value": round(sum(times.values()), 3),
