@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adstrata.operators.selection import not_listed
 from adstrata.operators.skew import HOT_ROWS, hot_keys, salted_join
 from adstrata.operators.versions import newest_per_key
 from adstrata.session import stage
@@ -20,8 +21,8 @@ def latest_codes(codes: DataFrame, tiebreak: str = "verification_code") -> DataF
 
 def delete_codes(codes: DataFrame, emails: DataFrame) -> DataFrame:
     """The codes left once those of the given addresses are deleted."""
-    gone = emails.select("email").dropna().distinct()
-    return codes.join(gone, "email", "left_anti").select(codes.columns)
+    others = [c for c in codes.columns if c != "email"]
+    return not_listed(codes, emails.select("email"), "email", others)
 
 
 def expired(created_at: Column, now: Column, minutes: int = EXPIRY_MINUTES) -> Column:
@@ -52,7 +53,6 @@ def check_codes(
     if hot is None:
         matched = _carried(complete, known)
     else:
-        hot = F.broadcast(hot)
         matched = _carried(
             complete.join(hot, "email", "left_anti"), known.join(hot, "email", "left_anti")
         ).unionByName(

@@ -47,20 +47,35 @@ def listed(
     Short lists become a filter, counted small tables a broadcast semi-join, and anything larger a
     shuffled semi-join that spreads each id over several tasks.
     """
-    if not isinstance(ids, DataFrame):
-        values = id_list(ids)
-        if len(values) <= INLINE_IDS:
-            return df.filter(F.col(column).isin(values))
+    if _inline(ids):
+        return df.filter(F.col(column).isin(id_list(ids)))
+    return _joined(df, ids, column, "left_semi", spread_by, max_broadcast)
+
+
+def not_listed(
+    df: DataFrame, ids: Ids, column: str, spread_by: Sequence[str], max_broadcast: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The other rows, among them those without an id."""
+    if _inline(ids):
+        return df.filter(~F.coalesce(F.col(column).isin(id_list(ids)), F.lit(False)))
+    return _joined(df, ids, column, "left_anti", spread_by, max_broadcast)
+
+
+def _inline(ids: Ids) -> bool:
+    return not isinstance(ids, DataFrame) and len(id_list(ids)) <= INLINE_IDS
+
+
+def _joined(
+    df: DataFrame, ids: Ids, column: str, how: str, spread_by: Sequence[str], max_broadcast: int
+) -> DataFrame:
     wanted = ids_relation(df, ids, column)
     if fits_broadcast(wanted, max_broadcast):
-        chosen = df.join(F.broadcast(wanted), column, "left_semi")
-    else:
-        chosen = salted_join(df, wanted, [column], "left_semi", spread_by)
-    return chosen.select(df.columns)
+        return df.join(F.broadcast(wanted), column, how).select(df.columns)
+    return salted_join(df, wanted, [column], how, spread_by).select(df.columns)
 
 
 def _flagged(df: DataFrame, ids: Ids, column: str, flag: str, spread_by: Sequence[str], max_broadcast: int) -> DataFrame:
-    if not isinstance(ids, DataFrame) and len(id_list(ids)) <= INLINE_IDS:
+    if _inline(ids):
         return df.withColumn(flag, F.coalesce(F.col(column).isin(id_list(ids)), F.lit(False)))
     wanted = ids_relation(df, ids, column).withColumn(flag, F.lit(True))
     if fits_broadcast(wanted.select(column), max_broadcast):
@@ -88,8 +103,7 @@ def targeted(
         return listed(df, advertiser_ids, "advertiser_id", ["creative_id"], max_broadcast)
     if not _given(advertiser_ids):
         return listed(df, creative_ids, "creative_id", columns_to_spread(df), max_broadcast)
-    inline = [not isinstance(i, DataFrame) and len(id_list(i)) <= INLINE_IDS for i in (advertiser_ids, creative_ids)]
-    if all(inline):
+    if _inline(advertiser_ids) and _inline(creative_ids):
         return df.filter(
             F.col("advertiser_id").isin(id_list(advertiser_ids)) | F.col("creative_id").isin(id_list(creative_ids))
         )

@@ -26,16 +26,21 @@ def fits_broadcast(keys: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: i
     return size.n <= max_rows and (size.bytes or 0) <= max_bytes
 
 
+def broadcast_if_small(keys: DataFrame) -> DataFrame:
+    """The keys, marked for broadcast when they fit one."""
+    return F.broadcast(keys) if fits_broadcast(keys) else keys
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The key values with more than `hot_rows` rows, or None when there are none.
 
-    At most rows / hot_rows values can qualify.
+    At most rows / hot_rows values can qualify. They come ready for a broadcast join if they fit one.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     hot = counts.filter(F.col("n") > hot_rows).select(*keys).dropna()
     if hot.isEmpty():
         return None
-    return stage(hot, "hot-keys")
+    return broadcast_if_small(stage(hot, "hot-keys"))
 
 
 def salt_of(columns: Sequence[str | Column], salts: int = SALTS) -> Column:

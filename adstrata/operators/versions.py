@@ -30,8 +30,8 @@ def new_versions(
     hot = hot_keys(existing, CREATIVE_KEY, hot_rows)
     if hot is not None:
         creative = list(CREATIVE_KEY)
-        large = known.join(F.broadcast(hot), creative, "left_semi").distinct()
-        known = known.join(F.broadcast(hot), creative, "left_anti").unionByName(large)
+        large = known.join(hot, creative, "left_semi").distinct()
+        known = known.join(hot, creative, "left_anti").unionByName(large)
     return incoming.join(known, keys, "left_anti").select(incoming.columns)
 
 
@@ -68,8 +68,8 @@ def version_history(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         return _numbered(versions)
     key = list(CREATIVE_KEY)
     versions = stage(versions, "versions")  # The digests: the texts are then read only once.
-    ordinary = versions.join(F.broadcast(hot), key, "left_anti")
-    large = versions.join(F.broadcast(hot), key, "left_semi")
+    ordinary = versions.join(hot, key, "left_anti")
+    large = versions.join(hot, key, "left_semi")
     return _numbered(ordinary).unionByName(_numbered_in_pieces(large))
 
 

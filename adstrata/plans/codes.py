@@ -41,5 +41,5 @@ def forget_codes(emails: DataFrame, table: TableRef, folder: str) -> TableRef:
     """
     spark = emails.sparkSession
     place = f"{folder.rstrip('/')}/{table.name}-{uuid.uuid4().hex}"
-    delete_codes(table.read(spark), emails).write.parquet(place)
+    delete_codes(table.read_anew(spark), emails).write.parquet(place)
     return move_to(spark, table, place)

@@ -73,7 +73,7 @@ def load_new(candidates: DataFrame, target: Target, prune: bool = True) -> int:
     if not target.strict:
         candidates = candidates.dropna(subset=["data_modified"])
     candidates = with_partition(candidates, target.granularity)
-    stored = target.raw.read(spark)
+    stored = target.raw.read_anew(spark)
     if prune:
         candidates = stage(candidates, "candidates")
         stored = relevant_history(stored, candidates)

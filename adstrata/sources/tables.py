@@ -31,6 +31,11 @@ class TableRef:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.name)
 
+    def read_anew(self, spark: SparkSession) -> DataFrame:
+        """The table with its files listed again, so that what other applications appended is seen."""
+        spark.catalog.refreshTable(self.name)
+        return self.read(spark)
+
     def create(self, spark: SparkSession, schema: T.StructType, partitioned_by: str | None = None) -> None:
         """Create the table if it is absent. Files already in its folder become its rows."""
         if "." in self.name:

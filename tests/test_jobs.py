@@ -8,6 +8,7 @@ from builders import MARKET, creative, raw, source
 from pyspark.sql import functions as F
 
 from adstrata.operators.media import page_outcomes
+from adstrata.operators.projection import market_records, raw_rows
 from adstrata.plans import codes as code_plans
 from adstrata.plans import ingest, marts, refresh
 from adstrata.plans.media import MediaResult, advertiser_ids_of_links, media_links_job
@@ -84,6 +85,18 @@ def test_a_table_over_existing_files_has_their_rows(spark, new_table):
     assert again.read(spark).count() == 1
 
 
+def test_rows_appended_by_others_are_seen(spark, target):
+    """Files that appear in a known partition without this session's doing."""
+    df = source(spark, creative(), creative(number="CR2"))
+    window = ("AR1", "2024-01-01", "2024-01-31")
+    ingest.backfill(spark, source(spark, creative()), target, *window)
+    target.raw.read(spark).count()
+    records = market_records(df, MARKET)
+    unseen = with_partition(raw_rows(records.filter("creative_id = 'CR2'")))
+    unseen.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(target.raw.location)
+    assert ingest.backfill(spark, df, target, *window).rows_added == 0
+
+
 @pytest.mark.parametrize("column", RAW_COLUMNS)
 def test_append_refuses_nulls(spark, new_table, column):
     table = new_table()

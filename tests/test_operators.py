@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adstrata.operators import codes, counts, media, required, skew, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows, unusable_records
 from adstrata.operators.pruning import relevant_history
-from adstrata.operators.selection import between_days, id_list, in_market, listed, lookup, targeted
+from adstrata.operators.selection import between_days, id_list, in_market, listed, lookup, not_listed, targeted
 from adstrata.schemas import PARTITION_COLUMN, RAW_COLUMNS
 from adstrata.sources.tables import with_partition
 
@@ -47,6 +47,10 @@ def test_listed_gives_the_same_by_every_route(spark, people):
     assert rows_of(listed(people, table, max_broadcast=1), "*") == expected
     assert rows_of(listed(people, [*wanted, *(f"x{i}" for i in range(2000))]), "*") == expected
     assert listed(people, []).count() == 0
+    others = rows_of(people, "*") - expected
+    assert (None, "CR-null") in others
+    for ids, limit in ((wanted, 9), (table, 9), (table, 1)):
+        assert rows_of(not_listed(people, ids, "advertiser_id", ["creative_id"], limit), "*") == others
 
 
 def test_large_lists_are_not_broadcast(spark, people):
