@@ -32,7 +32,7 @@ def utc_midnight(day: Column) -> Column:
 
 
 def utc_day(instant: Column, granularity: str = "day") -> Column:
-    """The UTC day (or first day of the month) of an instant."""
+    """The UTC day of an instant, or the first day of its month or year."""
     day = F.date_from_unix_date(F.floor(F.unix_seconds(instant) / SECONDS_PER_DAY).cast("int"))
     return day if granularity == "day" else F.trunc(day, granularity).cast("date")
 

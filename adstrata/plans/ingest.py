@@ -28,7 +28,7 @@ GATES = ("first_shown", "same_as_insert")
 class Target:
     """Where a load goes and how it treats its rows.
 
-    One raw table holds one market. `granularity` is day or month and must not change for a table.
+    One raw table holds one market. `granularity` is day, month or year and must not change for a table.
     `strict` fails the job on bad days or a repeated market entry; otherwise such rows are left out.
     `drop_repeats` also removes equal rows within a batch.
     """

@@ -206,7 +206,7 @@ def _scratch_table(spark: SparkSession, label: str) -> TableRef:
 def run_status(spark, sf_dir):
     """The jobs run one after another into a new raw table, and what each reported."""
     target = ingest.Target(
-        raw=_scratch_table(spark, "raw"), market=MARKET, granularity="month", runs=_scratch_table(spark, "runs")
+        raw=_scratch_table(spark, "raw"), market=MARKET, granularity="year", runs=_scratch_table(spark, "runs")
     )
     source = samples.creative_stats(spark, sf_dir)
     tracking = samples.advertisers_tracking(spark, sf_dir)
@@ -225,9 +225,9 @@ def run_status(spark, sf_dir):
 @query
 def stream_ingest(spark, sf_dir):
     """The refresh of all tracked advertisers, fed file by file from a stream."""
-    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, granularity="month")
+    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, granularity="year")
     ensure_raw_table(spark, target.raw)
-    append_raw(samples.raw_history(spark, sf_dir), target.raw)
+    append_raw(with_partition(samples.raw_history(spark, sf_dir), target.granularity), target.raw)
     source = samples.creative_stats(spark, sf_dir)
     stream = stream_creatives(
         spark,
