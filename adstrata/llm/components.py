@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     lineage stays short. Self-loops give single nodes; an empty table gives none.
     """
     edges = stage(edges.select("a", "b").distinct(), "edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
+    single = edges.filter("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
     rounds: list[DataFrame] = []
     while True:
         edges = edges.filter("a <> b")
@@ -37,8 +35,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "contracted",
         )
 
-    def renamed(found: DataFrame, names: DataFrame) -> DataFrame:
-        names = names.toDF("label", "name")
-        return found.join(names, "label", "left").select("node", F.coalesce("name", "label").alias("label"))
-
-    return reduce(renamed, rounds, nodes.select("node", F.col("node").alias("label")))
+    if not rounds:
+        return single
+    final = rounds[-1].toDF("node", "label")
+    for names in reversed(rounds[:-1]):  # a round has a fraction of the names of the one before
+        later = final.toDF("name", "label")
+        final = names.join(later, "name", "left").select("node", F.coalesce("label", "name").alias("label"))
+    return final.union(single.join(rounds[0].select("node"), "node", "left_anti"))
