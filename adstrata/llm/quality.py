@@ -25,9 +25,9 @@ WINDOW = 5
 #: Measures per 1000 words, what the least distance of the fence from the quartiles is, and whether there is a lower one.
 MEASURES = {
     "symbols": ("n_symbols", 50, False),
-    "repeats": ("n_repeat_words", 100, False),
+    "repeats": ("n_repeat_words", 150, False),
     "lines": ("n_dup_lines", 50, False),
-    "length": ("word_chars", 2000, True),
+    "length": ("word_chars", 3000, True),
 }
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, language_id, mixing, ngram_join, quality, token_counts, url_filter
+from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, quality, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -49,6 +49,19 @@ def op3_quality_rules(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Every document's lines that nearly repeat an earlier one, and what is left of its text."""
+    left = line_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        _digest("text").alias("text_sha256"),
+    )
+
+
 @query
 def op6_source_mixing(spark, sf_dir):
     """What the mix takes of every document."""
