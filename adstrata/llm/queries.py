@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, quality, token_counts, url_filter
+from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, quality, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -62,6 +62,12 @@ def op4_line_dedup(spark, sf_dir):
     )
 
 
+@query
+def op5_approximate_neighbours(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one."""
+    return nn_descent.nearest(read(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 @query
 def op6_source_mixing(spark, sf_dir):
     """What the mix takes of every document."""
