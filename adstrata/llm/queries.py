@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, quality, token_counts, url_filter
+from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -42,6 +42,13 @@ def op1_byte_level_bpe(spark, sf_dir):
     return coded.select("doc_id", "n_tokens", _digest("ids").alias("ids_sha256"), _digest("decoded").alias("decoded_sha256"))
 
 
+@query
+def op2_personal_data(spark, sf_dir):
+    """Every document's personal data: by fixed patterns, and by contexts learned from those."""
+    found = pii.find(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", _digest("base").alias("base_sha256"), "spans")
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     """Every document's measures, and whether it is within the fences of its language and source."""
