@@ -25,7 +25,7 @@ LONGEST_GRAM = 4
 #: The classifier is fitted on about so many labelled texts, chosen by hash, and all of them if there are fewer.
 TRAINING_TEXTS = 20_000
 #: The most frequent words and n-grams that are kept, over all languages. This bounds what is sent to executors.
-MOST_WORDS, MOST_GRAMS = 200_000, 100_000
+MOST_WORDS, MOST_GRAMS = 60_000, 40_000
 _LETTERS = regex.compile(r"\p{L}+")
 _REMEMBERED = 200_000
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -33,40 +33,40 @@ RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language of words and, by length, of n-grams. `prior` is used where a word has neither."""
+    """Rows of log frequencies per language: of words, and of n-grams of all lengths."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: list[str]
+    word_rows: np.ndarray
+    grams: list[str]
+    gram_rows: np.ndarray
 
-    def unseen(self, word: str) -> np.ndarray:
-        padded = f"<{word}>"
-        for n in range(LONGEST_GRAM, 0, -1):
-            known = [g for i in range(len(padded) - n + 1) if (g := self.grams.get(padded[i : i + n])) is not None]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages))
+
+def _unseen(word: str, grams: dict[str, int], rows: np.ndarray) -> np.ndarray:
+    """The mean over the known n-grams of the longest length that has any; nothing if no length has."""
+    padded = f"<{word}>"
+    for n in range(LONGEST_GRAM, 0, -1):
+        known = [row for i in range(len(padded) - n + 1) if (row := grams.get(padded[i : i + n])) is not None]
+        if known:
+            return rows[known].mean(axis=0)
+    return np.zeros(rows.shape[1])
 
 
 def _bounded(counts: DataFrame, most: int) -> pd.DataFrame:
-    """The counts per language of the `most` most frequent grams, ties in order of the grams."""
-    each = F.collect_list(F.struct("label", "n")).alias("each")
-    return counts.groupBy("gram").agg(F.sum("n").alias("total"), each).orderBy(F.desc("total"), "gram").limit(most).toPandas()
-
-
-def _log_frequencies(counted: pd.DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
-    at = {language: i for i, language in enumerate(languages)}
-    table = np.zeros((len(counted), len(languages)))
-    for row, each in enumerate(counted["each"]):
-        for label, n in each:
-            table[row, at[label]] = n
-    lengths = counted["gram"].str.len().to_numpy() if len(counted) else np.empty(0)
-    out = np.zeros_like(table)
-    for same in np.unique(np.minimum(lengths, LONGEST_GRAM + 1)):
-        chosen = np.minimum(lengths, LONGEST_GRAM + 1) == same
-        part = table[chosen] + 0.5
-        out[chosen] = np.log(part / part.sum(axis=0))
-    return dict(zip(counted["gram"], out))
+    """`gram`, `label`, `n` of the `most` most frequent grams, ties in order of the grams."""
+    chosen = counts.groupBy("gram").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "gram").limit(most)
+    return counts.join(F.broadcast(chosen.select("gram")), "gram").select("gram", "label", "n").toPandas()
+
+
+def _log_frequencies(counted: pd.DataFrame, languages: list[str]) -> tuple[list[str], np.ndarray]:
+    row, grams = pd.factorize(counted["gram"], sort=True)
+    table = np.zeros((len(grams), len(languages)))
+    table[row, pd.Index(languages).get_indexer(counted["label"])] = counted["n"]
+    lengths = np.array([min(len(g), LONGEST_GRAM + 1) for g in grams])
+    for length in np.unique(lengths):
+        part = table[lengths == length] + 0.5
+        table[lengths == length] = np.log(part / part.sum(axis=0))
+    return list(grams), table
 
 
 def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
@@ -77,7 +77,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Langu
     labelled = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).dropna()
     rows = labelled.select("label").count()
     if not rows:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
     share = min(1.0, TRAINING_TEXTS / rows)
     chosen = labelled.filter(F.pmod(row_key("text"), F.lit(1_000_000)) < int(share * 1_000_000))
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")))
@@ -88,17 +88,14 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Langu
     grams = counts.select("label", "n", F.explode(F.array_distinct(every)).alias("gram"))
     grams = grams.groupBy("label", "gram").agg(F.sum("n").alias("n"))
     languages = sorted(r[0] for r in counts.select("label").distinct().collect())
-    return LanguageModel(
-        languages, _log_frequencies(_bounded(counts, MOST_WORDS), languages) if languages else {},
-        _log_frequencies(_bounded(grams, MOST_GRAMS), languages) if languages else {},
-    )
+    words, word_rows = _log_frequencies(_bounded(counts, MOST_WORDS), languages)
+    return LanguageModel(languages, words, word_rows, *_log_frequencies(_bounded(stage(grams, "grams"), MOST_GRAMS), languages))
 
 
 def _predictions(model: LanguageModel, texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     known = {word: i for i, word in enumerate(model.words)}
-    empty = np.zeros((0, len(model.languages)))
-    table = np.vstack([empty, *([np.array(list(model.words.values()))] if model.words else [])])
-    table = np.vstack([table, np.zeros((_REMEMBERED, len(model.languages)))])
+    grams = {gram: i for i, gram in enumerate(model.grams)}
+    table = np.vstack([model.word_rows, np.zeros((_REMEMBERED, len(model.languages)))])
     fixed = filled = len(known)
     unseen: dict[str, int] = {}
     for batch in texts:
@@ -115,7 +112,7 @@ def _predictions(model: LanguageModel, texts: Iterator[pd.Series]) -> Iterator[p
                 if row is None:
                     row = unseen.get(word)
                     if row is None:
-                        scores = model.unseen(word)
+                        scores = _unseen(word, grams, model.gram_rows)
                         if len(word) > 100:
                             score += scores
                             continue
