@@ -1,0 +1,314 @@
+"""Each operator against a brute-force version, and on nulls, empty and long texts, ties, repeats and clashing columns."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
+from adstrata.llm.components import connected_components
+from adstrata.llm.queries import edits_of, vocabulary
+
+SCHEMA = "doc_id long, text string, lang string, source string, node long, row long, score double, ids binary"
+WORDS = "the of and a in to it is was that for on are with as at by from he she".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(n)]
+    return "\n".join(" ".join(words[i : i + 18]) for i in range(0, n, 18))
+
+
+TEXTS = [
+    None, "", " \n\t", "word", prose(1, 120), prose(1, 120), prose(1, 118) + " two more", prose(2, 300), "x" * 60_000, "a  \r\n b's '" * 4_000,
+    prose(3, 9_000), "élan Ünï " * 40, "# $ % & | < >", "same line here that is long enough to count\n" * 3,
+]
+LANGS = ["en", "de", None]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rows = [(i, t, LANGS[i % 3], [None, "a", "b"][i % 3], 1, 2, 0.5, None) for i, t in enumerate(TEXTS)]
+    rows += [rows[4], (None, prose(1, 120), None, None, 1, 2, 0.5, None), (None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return vocabulary(spark)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    lines = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").read().splitlines()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_is_that_of_the_library_and_decodes(documents, nothing, words, reference):
+    rows = bpe.decode(bpe.encode(documents, words), words).collect()
+    assert len(rows) == documents.count()
+    for r in rows:
+        ids = reference.encode_ordinary(r.text or "")
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert bytes(r.decoded) == (r.text or "").encode()
+    assert bpe.encode(nothing, words).count() == 0
+
+
+def test_counts_follow_edits(documents, nothing, words, reference):
+    edited = token_counts.apply_edits(token_counts.count_trees(edits_of(documents), words), words)
+    for r in edited.collect():
+        assert r.n_tokens == len(reference.encode_ordinary(r.text)) == sum(r.tree.tokens)
+        assert len(r.text) == sum(r.tree.chars)
+    assert token_counts.count_trees(nothing, words).count() == 0
+
+
+def test_any_edits_keep_the_count(reference):
+    def count(text):
+        return len(reference.encode_ordinary(text))
+
+    rng = np.random.default_rng(5)
+    text = prose(9, 500)
+    tree = token_counts.CountTree.of(count, text, leaf=32)
+    for _ in range(300):
+        start, more = int(rng.integers(0, len(text) + 2)), int(rng.choice([0, 1, 5, 60]))
+        new = str(rng.choice(["", " ", "x", "  \n", "'s", " several new words that make the leaf grow and grow " * 6]))
+        text, _ = tree.edit(text, start, start + more, new)
+        assert tree.tokens[1] == count(text) and tree.chars[1] == len(text)
+
+
+PLAIN = [
+    "mail a.b@c.de, b@x.y.z@q.r. 1.2.3.4.5 300.1.1.1 4111 1111 1111 1111 +1 (555) 555-0100. +12",
+    "é 4111111111111111é 010.020.030.040 a@b +1234567890123456 ..@a.b a@b..c@d.e",
+    "1" * 20_000, "1." * 20_000, "a@" + "b." * 20_000, "+1" + " " * 20_000,
+    " ".join(f"u{i}@example.com" for i in range(1_000)),
+]
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    def valid(kind: str, value: str) -> bool:
+        digits = [int(c) for c in re.sub("[^0-9]", "", value)]
+        if kind == "ip":
+            return all(int(x) <= 255 for x in value.split("."))
+        if kind == "card":
+            doubled = sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(reversed(digits)))
+            return 14 <= len(digits) <= 19 and doubled % 10 == 0
+        return kind == "email" or 10 <= len(digits) <= 15
+
+    found = [(m.start(), i, m.end()) for i, (k, p) in enumerate(pii.KINDS.items()) for m in re.finditer(p, text) if valid(k, m[0])]
+    return sorted(found)
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark, documents, nothing):
+    rows = pii.find(spark.createDataFrame([(i, t) for i, t in enumerate(PLAIN)], "doc_id long, text string")).collect()
+    names = list(pii.KINDS)
+    for r in rows:
+        assert r.base == ",".join(f"{names[k]}:{a}:{b}" for a, k, b in base_spans(PLAIN[r.doc_id]))
+    assert pii.find(documents).count() == documents.count()
+    assert pii.find(nothing).count() == 0
+
+
+def test_contexts_find_what_the_rules_miss(spark):
+    seeds = [(i, f"{prose(i, 5)} please write to user{i}@mail{i}.org now") for i in range(8)]
+    rows = spark.createDataFrame([*seeds, (8, "please write to somebody@localhost now"), (9, "the other@localhost2 stays")], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find(rows).collect()}
+    assert found[8] == "email:16:34" and found[9] == ""
+
+
+def test_measures(documents, nothing):
+    rows = quality.judged(documents).collect()
+    assert len(rows) == documents.count() and quality.judged(nothing).count() == 0
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    for r in rows:
+        if r.doc_id is None:
+            continue
+        text = texts[r.doc_id] or ""
+        found = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = Counter(tuple(found[i : i + 5]) for i in range(len(found) - 4))
+        repeated = {i + j for i in range(len(found) - 4) if windows[tuple(found[i : i + 5])] > 1 for j in range(5)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(found), sum(map(len, found)), len(repeated))
+        assert r.n_symbols == len(re.findall(r"[#*$%&|<>]", text)) and r.n_dup_lines == len(lines) - len(set(lines))
+
+
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_bit_parallel_distance(spark):
+    rng = np.random.default_rng(3)
+
+    def changed(text):
+        letters = list(text)
+        for _ in range(rng.integers(0, 5)):
+            at = int(rng.integers(0, len(letters)))
+            letters[at : at + int(rng.integers(0, 2))] = list(rng.choice(["", "a", "é"]))
+        return "".join(letters)
+
+    pairs = [(t := "".join(rng.choice(list("abé"), rng.integers(9, 30))), changed(t)) for _ in range(400)]
+    rows = spark.createDataFrame([p for p in pairs if len(p[1]) > 4], "a string, b string")
+    for most in (1, 2, 3):
+        for r in rows.select("a", "b", line_dedup.edit_distance_within("a", "b", most).alias("near")).collect():
+            assert r.near == (distance(r.a, r.b) <= most)
+
+
+def test_lines(spark, documents, nothing):
+    base = "a line of some forty characters and a few more"
+    texts = [base, base + "!", "keep\n" + base.replace("line", "lime"), "another line that has nothing to do with those above\nkeep", base[:-9] + "XYZXYZXYZ", None]
+    left = line_dedup.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [(r.text, r.removed) for r in left.orderBy("doc_id").collect()] == [
+        (texts[0], []), ("", [0]), ("keep", [1]), (texts[3], []), (texts[4], []), (None, []),
+    ]
+    assert line_dedup.without_repeats(documents).columns[:2] == ["doc_id", "lang"]
+    assert line_dedup.without_repeats(documents).count() == documents.count()
+    assert line_dedup.without_repeats(nothing).count() == 0
+
+
+def test_trie_finds_all_links():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        base = rng.integers(0, 2**63, 40, dtype=np.uint64)
+        sets = {}
+        for _ in range(rng.integers(2, 25)):
+            kept = base[rng.random(40) < rng.choice([0.95, 0.85, 0.6])]
+            one = np.unique(np.r_[kept, rng.integers(0, 2**63, rng.integers(1, 8), dtype=np.uint64)])
+            sets[one.tobytes()] = one
+        sets = list(sets.values())
+        parent = list(range(len(sets)))
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in range(len(sets)):
+            for j in range(i):
+                if ngram_join.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]), 80):
+                    low, high = sorted((find(i), find(j)))
+                    parent[high] = low
+        trie = ngram_join.Trie(sets, 80)
+        list(trie.links())
+        assert [trie.find(i) for i in range(len(sets))] == [find(i) for i in range(len(sets))]
+
+
+def test_similar_documents(spark, documents, nothing, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)  # groups of several blocks
+    base = prose(11, 200).split()
+    texts = [" ".join(base[:i] + ["new"] + base[i + 1 :]) for i in range(5, 190, 9)] + [prose(i, 60) for i in range(50, 60)]
+    rows = [(100 + i, t) for i, t in enumerate(texts)] + [(7, "One two"), (3, "one TWO"), (1, None), (2, ""), (7, "One two")]
+    found = {r.doc_id: r for r in ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows if i >= 100 for w in [t.split()]}
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    for i in sets:
+        assert (found[i].component_id, found[i].n_shingles) == (find(i), len(sets[i]))
+    assert [found[i].component_id for i in (7, 3, 1, 2)] == [3, 3, 1, 2] and found[1].n_shingles == 0
+    assert ngram_join.similar_documents(documents).count() == documents.count()
+    assert ngram_join.similar_documents(nothing).count() == 0
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 9)] + [(20, 21), (30, 30)]
+    labels = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert set(labels) == {*range(10), 20, 21, 30}
+    assert len({labels[i] for i in range(10)}) == 1 and labels[20] == labels[21] != labels[0] and labels[30] == 30
+
+
+def test_mix(spark, documents, nothing):
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 60))), "abcd"[min(3, i % 17)]) for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.repetitions(docs).toPandas()
+    assert taken["times"].between(0, 3).all() and len(taken) == len(rows)
+    sums = taken.assign(words=taken["size"] * taken["times"]).groupby("source").agg(words=("words", "sum"), target=("target", "first"), own=("source_size", "first"))
+    assert ((sums["words"] - sums["target"]).abs() <= 60).all() and (sums["target"] <= 3 * sums["own"]).all()
+    assert abs(sums["target"].sum() - taken["size"].sum()) < 1e-3
+    again = mixing.repetitions(docs.repartition(3)).toPandas().set_index("doc_id")["times"]
+    assert again.sort_index().equals(taken.set_index("doc_id")["times"].sort_index())
+    assert mixing.repetitions(documents).count() == documents.count()
+    assert mixing.mixed(documents).columns == documents.columns and mixing.mixed(nothing).count() == 0
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((1_500, 16))
+    vectors[700:] = vectors[699]  # a large group of equal vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(9_000, None), (9_050, [0.0] * 16), (9_100, [float("nan")] * 16), (9_150, [None] * 16), (None, [1.0] * 16), (0, vectors[0].tolist())]
+    found = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").toPandas()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 1_500, 50):
+        sims = unit @ unit[q]
+        sims[q] = -9
+        sims[700:] = sims[699] if q < 699 else np.where(np.arange(700, 1_500) == q, -9, 1)
+        if q >= 699:
+            sims[699] = 1
+        best = np.lexsort((np.arange(1_500), -sims.round(12)))[:5]
+        mine = found[found["query_id"] == q].sort_values("rank")
+        assert len(mine) == 5
+        hits += len(set(best) & set(mine["vec_id"]))
+    assert set(found["query_id"]) == set(range(0, 1_500, 50)) and hits >= 0.9 * 150
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert nn_descent.nearest(empty, "vec_id % 50 = 0").count() == 0
+
+
+def test_urls(spark):
+    rules = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "com", "/de/"))
+    urls = ["http://A.Example.org/es/x?q#f", "https://example.org/en", "http://bad.net/p/?utm_source=a", "http://www.bad.net/p", "x", None, "http://notorg/", "http://b.com/de/1", "http://bad.net/other"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    listed = spark.createDataFrame([("bad.net/p",), (None,)], "canonical string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judged(pages, listed, rules).collect()}
+    assert got == {
+        0: ("a.example.org", "/es/x", "example.org/es/", "block"), 1: ("example.org", "/en", "org/", "allow"),
+        2: ("bad.net", "/p/", None, "block"), 3: ("www.bad.net", "/p", None, "block"), 4: ("", "", None, "allow"), 5: ("", "", None, "allow"),
+        6: ("notorg", "/", None, "allow"), 7: ("b.com", "/de/1", "com/de/", "block"), 8: ("bad.net", "/other", None, "allow"),
+    }
+    assert url_filter.judged(pages.limit(0), listed.limit(0), rules).count() == 0
+
+
+def test_languages(spark, documents, nothing):
+    english = [(" ".join(np.random.default_rng(i).choice(WORDS, 12)), "en") for i in range(80)]
+    other = [(" ".join(np.random.default_rng(i).choice("der die das und ist nicht ein mit auf sie zu von".split(), 12)), "de") for i in range(80)]
+    model = language_id.train(spark.createDataFrame([*english, *other, (None, "en"), ("x", None)], "text string, lang string"))
+    texts = ["The THAT withs", "nichts dass einmal", "123 %", None, "", "und is die nicht"]
+    rows = language_id.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in rows] == ["en", "de", "und", "und", "und", "de"]
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert language_id.predict(documents, model).count() == documents.count()
+    nobody = language_id.train(nothing)
+    assert {r.lang_pred for r in language_id.predict(documents, nobody).collect()} == {"und"}
+
+
+def test_digests_are_those_of_the_bytes(spark):
+    row = spark.sql("select cast('a' as binary) b").select(F.sha2("b", 256).alias("h")).first()
+    assert row.h == hashlib.sha256(b"a").hexdigest()
