@@ -17,7 +17,7 @@ from adstrata.operators.versions import drop_repeats, new_versions
 from adstrata.plans.status import IngestStatus
 from adstrata.schemas import PARTITION_COLUMN, RUN_SCHEMA
 from adstrata.session import stage
-from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, with_partition
+from adstrata.sources.tables import TableRef, append, append_raw, check_granularity, ensure_raw_table, with_partition
 
 log = logging.getLogger(__name__)
 
@@ -28,7 +28,7 @@ GATES = ("first_shown", "same_as_insert")
 class Target:
     """Where a load goes and how it treats its rows.
 
-    One raw table holds one market. `granularity` is day, month or year and must not change for a table.
+    One raw table holds one market. `granularity` is day, month or year; a load with another one than the table's is refused.
     `strict` fails the job on bad days or a repeated market entry; otherwise such rows are left out.
     `drop_repeats` also removes equal rows within a batch.
     """
@@ -72,6 +72,7 @@ def load_new(candidates: DataFrame, target: Target, prune: bool = True) -> int:
         candidates = drop_repeats(candidates)
     if not target.strict:
         candidates = candidates.dropna(subset=["data_modified"])
+    check_granularity(spark, target.raw, target.granularity)
     candidates = with_partition(candidates, target.granularity)
     stored = target.raw.read_anew(spark)
     if prune:

@@ -71,6 +71,21 @@ def ensure_raw_table(spark: SparkSession, raw: TableRef) -> IngestStatus:
     return IngestStatus.TABLE_CREATED
 
 
+GRANULARITY = "adstrata.granularity"
+
+
+def check_granularity(spark: SparkSession, raw: TableRef, granularity: str) -> None:
+    """Record how a raw table is partitioned at its first load, and refuse a load that partitions it otherwise.
+
+    The partition is part of the key that tells stored versions, so such a load would store all of them again.
+    """
+    known = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {raw.name}").collect()}.get(GRANULARITY)
+    if known is None:
+        spark.sql(f"ALTER TABLE {raw.name} SET TBLPROPERTIES ('{GRANULARITY}' = '{granularity}')")
+    elif known != granularity:
+        raise ValueError(f"{raw.name} is partitioned by {known}, not by {granularity}")
+
+
 def with_partition(rows: DataFrame, granularity: str = "day") -> DataFrame:
     """Raw-table rows with the column the table is partitioned by."""
     return rows.select(*RAW_COLUMNS, utc_day(F.col("data_modified"), granularity).alias(PARTITION_COLUMN))

@@ -1,6 +1,7 @@
 import json
 import os
 from collections import Counter
+from dataclasses import replace
 from datetime import date, datetime, timezone
 
 import pytest
@@ -51,6 +52,15 @@ def test_table_statuses(spark, new_table):
     assert table.read(spark).columns == RAW_SCHEMA.names
 
 
+def test_a_load_with_another_granularity_is_refused(spark, target, tracking):
+    ensure_raw_table(spark, target.raw)
+    rows = raw(spark, ("AR1", "CR1", "t", "2024-01-05"))
+    assert ingest.load_new(rows, target) == 1
+    with pytest.raises(ValueError, match="partitioned by day"):
+        ingest.load_new(rows, replace(target, granularity="year"))
+    assert ingest.load_new(rows, target) == 0 and target.raw.read(spark).count() == 1
+
+
 def test_append_counts_and_lays_out_rows(spark, new_table):
     table = new_table()
     ensure_raw_table(spark, table)
