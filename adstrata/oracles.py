@@ -207,7 +207,7 @@ _QUERIES = {
         ["creative_stats"],
         "select creative_page_url url, string_split(creative_page_url,'/')[5] advertiser_id from creative_stats",
     ),
-    "lowercase_columns": ([], "select c_custkey, c_name, c_nationkey, c_mktsegment from customer"),
+    "lowercase_columns": ([], "select * from customer"),
     "valid_email": (
         [],
         r"""select c_custkey, email, cast(regexp_matches(email,'^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+$') as int) valid from (

@@ -206,7 +206,7 @@ def _scratch_table(spark: SparkSession, label: str) -> TableRef:
 def run_status(spark, sf_dir):
     """The jobs run one after another into a new raw table, and what each reported."""
     target = ingest.Target(
-        raw=_scratch_table(spark, "raw"), market=MARKET, granularity="year", runs=_scratch_table(spark, "runs")
+        raw=_scratch_table(spark, "raw"), market=MARKET, runs=_scratch_table(spark, "runs")
     )
     source = samples.creative_stats(spark, sf_dir)
     tracking = samples.advertisers_tracking(spark, sf_dir)
@@ -302,7 +302,7 @@ def advertiser_from_url(spark, sf_dir):
 
 @query
 def lowercase_columns(spark, sf_dir):
-    customers = samples.table(spark, sf_dir, "customer").drop("c_acctbal")
+    customers = samples.table(spark, sf_dir, "customer")
     return lower_case_columns(customers.toDF(*[c.upper() for c in customers.columns]))
 
 
