@@ -11,7 +11,12 @@ EMBED_PATTERN = r"/embed/([^?&]+)"
 WATCH_PREFIX = "https://www.youtube.com/watch?v="
 
 FRAME_START = r"(?i)<iframe(?=[\s/>])"
-SOURCE_PATTERN = r"(?i)\ssrc\s*=\s*[\"']([^\"']*)[\"']"
+# From a tag's name on: quoted values are passed over whole, up to `src` and its value in any of three forms.
+SOURCE_PATTERN = (
+    r"(?i)^(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|\s(?!src\s*+=)|[^>\s])*+"
+    r"\ssrc\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++[^\s>]*+)"
+)
+SCHEME_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*:)//"
 
 
 def mentions(url: Column, host: str = VIDEO_HOST) -> Column:
@@ -39,9 +44,9 @@ def frame_sources(html: Column) -> Column:
     """
 
     def source(part: Column, position: Column) -> Column:
-        tag = F.substring_index(part, ">", 1)
-        address = F.replace(F.regexp_extract(tag, SOURCE_PATTERN, 1), F.lit("&amp;"), F.lit("&"))
-        return F.when(position > 0, address)
+        value = F.regexp_extract(part, SOURCE_PATTERN, 1)
+        bare = F.regexp_replace(value, r"(?s)^([\"'])(.*)\1$", "$2")
+        return F.when(position > 0, F.replace(bare, F.lit("&amp;"), F.lit("&")))
 
     return F.transform(F.split(without_comments(html), FRAME_START), source)
 
@@ -49,6 +54,9 @@ def frame_sources(html: Column) -> Column:
 def video_frame(page_url: Column, html: Column, host: str = VIDEO_HOST) -> Column:
     """The first frame of a page that comes from the host: the page itself, then iframes in order."""
     framed = F.get(F.filter(frame_sources(html), lambda address: mentions(address, host)), F.lit(0))
+    # An address without a scheme has that of its page.
+    scheme = F.regexp_extract(page_url, SCHEME_PATTERN, 1)
+    framed = F.when(F.startswith(framed, F.lit("//")), F.concat(F.coalesce(scheme, F.lit("")), framed)).otherwise(framed)
     # The plain substring test spares most pages the rest.
     return F.when(mentions(page_url, host), page_url).when(mentions(html, host), framed)
 

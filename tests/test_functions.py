@@ -144,7 +144,13 @@ FRAMES = [
     (PAGE, "<p>none</p>", None),
     (PAGE, '<iframe src="https://www.youtube.com/embed/a?rel=0"></iframe>', "https://www.youtube.com/embed/a?rel=0"),
     (PAGE, "<IFRAME width=1\n SRC = 'https://www.youtube.com/embed/b'>", "https://www.youtube.com/embed/b"),
-    (PAGE, '<iframe src="https://x.example/"></iframe><iframe id=v src="//youtube.com/embed/c">', "//youtube.com/embed/c"),
+    (PAGE, '<iframe src="https://x.example/"></iframe><iframe id=v src="//youtube.com/embed/c">', "https://youtube.com/embed/c"),
+    ("page", '<iframe src="//youtube.com/embed/c">', "//youtube.com/embed/c"),
+    (PAGE, "<iframe width=1 src=https://youtube.com/embed/d height=2>", "https://youtube.com/embed/d"),
+    (PAGE, '<iframe title="a > b" src="https://youtube.com/embed/e">', "https://youtube.com/embed/e"),
+    (PAGE, """<iframe src="https://youtube.com/embed/f?t=it's">""", "https://youtube.com/embed/f?t=it's"),
+    (PAGE, """<iframe title='a src="https://youtube.com/embed/1"' src=x>""", None),
+    (PAGE, '<iframe title="' + "> " * 50_000 + '" src="https://youtube.com/embed/g">', "https://youtube.com/embed/g"),
     (PAGE, '<iframe src="https://youtube.com/embed/1"><iframe src="https://youtube.com/embed/2">', "https://youtube.com/embed/1"),
     (PAGE, '<!-- <iframe src="https://youtube.com/embed/1"> --><iframe src="https://youtube.com/embed/2">', "https://youtube.com/embed/2"),
     (PAGE, '<!-- a --><!-- <iframe src="https://youtube.com/embed/1">', None),
