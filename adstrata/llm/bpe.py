@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstrata.llm.common import stage
+from adstrata.llm.common import one_if_small, stage
 from adstrata.llm.tokenizer import Vocabulary
 
 CHUNK, OVERLAP = 16_384, 512
@@ -94,6 +94,8 @@ def _long_texts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     pieces = cuts.join(starts, ["key", "chunk"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
     pieces = pieces.join(cuts.filter("end is null").select("key").distinct(), "key", "left_anti")
     schema = "key string, chunk long, ids binary"
+    # The cuts go to the chunks, if there are few, so that the texts aren't shuffled again.
+    pieces = one_if_small(stage(pieces, "pieces"))
     ids = chunks.join(pieces, ["key", "chunk"]).mapInPandas(_encoded_pieces(vocabulary), schema)
     return ids.groupBy("key").applyInPandas(_joined, "key string, __ids binary")
 
