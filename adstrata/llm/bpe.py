@@ -11,12 +11,12 @@ Ids are held as binary: little-endian unsigned 32-bit integers.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstrata.llm.common import one_if_small, stage
@@ -79,8 +79,8 @@ def _joined(pieces: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": [pieces["key"].iloc[0]], "__ids": [b"".join(pieces["ids"])]})
 
 
-def _long_texts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """`key`, `__ids` for texts of several chunks that can be stitched."""
+def _long_texts(texts: DataFrame, vocabulary: Vocabulary, whole: Callable[[Column], Column]) -> DataFrame:
+    """`key`, `__ids` for texts of several chunks, one row for a key; those that can't be stitched go through `whole`."""
     chunks = texts.mapInPandas(_chunks, "key string, chunk long, part string")
     chunks = stage(chunks.repartition("key", "chunk"), "chunks")
     found = chunks.mapInPandas(_pre_tokenised(vocabulary.pattern), "key string, chunk long, head array<int>, tail array<int>")
@@ -92,12 +92,15 @@ def _long_texts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     cuts = stage(cuts, "cuts")
     starts = cuts.select("key", (F.col("chunk") + 1).alias("chunk"), F.col("end").alias("start"))
     pieces = cuts.join(starts, ["key", "chunk"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
-    pieces = pieces.join(cuts.filter("end is null").select("key").distinct(), "key", "left_anti")
+    unstitched = cuts.filter("end is null").select("key").distinct()
+    pieces = pieces.join(unstitched, "key", "left_anti")
     schema = "key string, chunk long, ids binary"
     # The cuts go to the chunks, if there are few, so that the texts aren't shuffled again.
     pieces = one_if_small(stage(pieces, "pieces"))
     ids = chunks.join(pieces, ["key", "chunk"]).mapInPandas(_encoded_pieces(vocabulary), schema)
-    return ids.groupBy("key").applyInPandas(_joined, "key string, __ids binary")
+    stitched = ids.groupBy("key").applyInPandas(_joined, "key string, __ids binary")
+    rest = texts.join(one_if_small(stage(unstitched, "unstitched")), "key", "left_semi").dropDuplicates(["key"])
+    return stage(stitched.union(rest.select("key", whole(F.col("text")))), "long")
 
 
 def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
@@ -115,12 +118,10 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     long_ = F.coalesce(F.length(text) > CHUNK + OVERLAP, F.lit(False))
     short = documents.filter(~long_).select(*columns, whole(F.col(text)).alias("ids"))
     keyed = documents.filter(long_).select(*columns, F.sha2(text, 256).alias("__key"))
-    stitched = _long_texts(keyed.select(F.col("__key").alias("key"), F.col(text).alias("text")), vocabulary)
-    rest = keyed.join(stitched.withColumnRenamed("key", "__key"), "__key", "left")
-    done = rest.filter("__ids is not null").select(*columns, F.col("__ids").alias("ids"))
-    unstitched = rest.filter("__ids is null").select(*columns, whole(F.col(text)).alias("ids"))
-    out = short.union(stage(done.union(unstitched), "long"))
-    return out.withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
+    ids = _long_texts(keyed.select(F.col("__key").alias("key"), F.col(text).alias("text")), vocabulary, whole)
+    # Only the columns that are asked for later are shuffled here, so a text need not be.
+    done = keyed.join(ids.withColumnRenamed("key", "__key"), "__key").select(*columns, F.col("__ids").alias("ids"))
+    return short.union(done).withColumn("n_tokens", (F.length("ids") / 4).cast("long"))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
