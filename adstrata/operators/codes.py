@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstrata.operators.selection import not_listed
-from adstrata.operators.skew import HOT_ROWS, hot_keys, salted_join
+from adstrata.operators.skew import HOT_ROWS, broadcast_if_small, hot_keys
 from adstrata.operators.versions import newest_per_key
 from adstrata.session import stage
 
@@ -21,8 +21,7 @@ def latest_codes(codes: DataFrame, tiebreak: str = "verification_code") -> DataF
 
 def delete_codes(codes: DataFrame, emails: DataFrame) -> DataFrame:
     """The codes left once those of the given addresses are deleted."""
-    others = [c for c in codes.columns if c != "email"]
-    return not_listed(codes, emails.select("email"), "email", others)
+    return not_listed(codes, emails.select("email"), "email")
 
 
 def expired(created_at: Column, now: Column, minutes: int = EXPIRY_MINUTES) -> Column:
@@ -39,7 +38,8 @@ def check_codes(
     """The attempts with a status, each checked against the newest code made up to then.
 
     Codes and attempts of an address are put in one time order and the last code carried forward, so
-    no pairs are made. Addresses with more than `hot_rows` rows are carried minute by minute.
+    no pairs are made. Only codes of addresses with an attempt are read into that order. Addresses with
+    more than `hot_rows` rows are carried minute by minute.
     """
     given = (F.coalesce(F.length("email"), F.lit(0)) > 0) & (F.coalesce(F.length("verification_code"), F.lit(0)) > 0)
     incomplete = attempts.filter(~given).withColumn("_match", F.lit(None))
@@ -49,6 +49,8 @@ def check_codes(
         F.col("created_at").alias("_at"),
         F.struct(F.col(tiebreak).alias("tie"), F.col("created_at"), F.col("verification_code").alias("code")).alias("_code"),
     )
+    asked = broadcast_if_small(complete.select("email").distinct())
+    known = known.join(asked, "email", "left_semi")
     hot = hot_keys(complete.select("email").unionAll(known.select("email")), ["email"], hot_rows)
     if hot is None:
         matched = _carried(complete, known)
@@ -91,7 +93,7 @@ def _carried_by_minute(attempts: DataFrame, known: DataFrame) -> DataFrame:
 
     Equal instants are collapsed first, so a minute holds at most its number of microseconds, and an
     address at most the minutes it spans. The code is carried within each minute, then from minute to
-    minute, and the result joined to the attempts with each instant spread over several tasks.
+    minute, and the result joined to the attempts, where the skew join splits instants with very many.
     """
     asked = attempts.select("email", F.col("attempted_at").alias("_at")).dropna().distinct()
     timeline = known.groupBy("email", "_at").agg(F.max("_code").alias("_code")).unionByName(
@@ -116,7 +118,4 @@ def _carried_by_minute(attempts: DataFrame, known: DataFrame) -> DataFrame:
         .join(carried, ["email", "_minute"])
         .select("email", F.col("_at").alias("attempted_at"), F.coalesce("_here", "_carry").alias("_match"))
     )
-    spread_by = [f.name for f in attempts.schema.fields if f.name not in ("email", "attempted_at")]
-    return salted_join(attempts, resolved, ["email", "attempted_at"], "left", spread_by).select(
-        *attempts.columns, "_match"
-    )
+    return attempts.join(resolved, ["email", "attempted_at"], "left").select(*attempts.columns, "_match")

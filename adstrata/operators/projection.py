@@ -33,13 +33,22 @@ def market_records(source: DataFrame, market: str, strict: bool = True) -> DataF
     )
 
 
-def unusable_records(source: DataFrame, market: str) -> DataFrame:
-    """The market's records that a strict load stops at and a lenient one leaves out, and why."""
+LOADS = ("window", "refresh")
+
+
+def unusable_records(source: DataFrame, market: str, load: str = "window") -> DataFrame:
+    """The market's records that a lenient load of a kind never stores, and why.
+
+    A strict load fails on them, but for one case: a window load merely passes over a record without a day last
+    shown. A refresh does not look at that day, and stores such records.
+    """
+    if load not in LOADS:
+        raise ValueError(f"load must be one of {LOADS}")
     records = market_records(source, market, strict=False)
     reason = (
         F.when(F.size("region_stats") > 1, "more than one entry")
         .when(F.col("first_shown_date").isNull(), "first_shown")
-        .when(F.col("last_shown_date").isNull(), "last_shown")
+        .when(F.col("last_shown_date").isNull() & F.lit(load == "window"), "last_shown")
     )
     return records.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 

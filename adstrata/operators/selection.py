@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from adstrata.functions.dates import as_day
 from adstrata.functions.regions import shown_in
-from adstrata.operators.skew import BROADCAST_ROWS, fits_broadcast, salted_join
+from adstrata.operators.skew import BROADCAST_ROWS, fits_broadcast
 
 Ids = str | Iterable[str] | DataFrame | None
 
@@ -36,53 +36,43 @@ def ids_relation(df: DataFrame, ids: Ids, column: str) -> DataFrame:
 
 
 def listed(
-    df: DataFrame,
-    ids: Ids,
-    column: str = "advertiser_id",
-    spread_by: Sequence[str] = ("creative_id",),
-    max_broadcast: int = BROADCAST_ROWS,
+    df: DataFrame, ids: Ids, column: str = "advertiser_id", max_broadcast: int = BROADCAST_ROWS
 ) -> DataFrame:
     """The rows whose id is in a list or a table of ids.
 
     Short lists become a filter, counted small tables a broadcast semi-join, and anything larger a
-    shuffled semi-join that spreads each id over several tasks.
+    shuffled one, in which the adaptive skew join splits the rows of an id with very many.
     """
     if _inline(ids):
         return df.filter(F.col(column).isin(id_list(ids)))
-    return _joined(df, ids, column, "left_semi", spread_by, max_broadcast)
+    return _joined(df, ids, column, "left_semi", max_broadcast)
 
 
-def not_listed(
-    df: DataFrame, ids: Ids, column: str, spread_by: Sequence[str], max_broadcast: int = BROADCAST_ROWS
-) -> DataFrame:
+def not_listed(df: DataFrame, ids: Ids, column: str, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """The other rows, among them those without an id."""
     if _inline(ids):
         return df.filter(~F.coalesce(F.col(column).isin(id_list(ids)), F.lit(False)))
-    return _joined(df, ids, column, "left_anti", spread_by, max_broadcast)
+    return _joined(df, ids, column, "left_anti", max_broadcast)
 
 
 def _inline(ids: Ids) -> bool:
     return not isinstance(ids, DataFrame) and len(id_list(ids)) <= INLINE_IDS
 
 
-def _joined(
-    df: DataFrame, ids: Ids, column: str, how: str, spread_by: Sequence[str], max_broadcast: int
-) -> DataFrame:
+def _joined(df: DataFrame, ids: Ids, column: str, how: str, max_broadcast: int) -> DataFrame:
     wanted = ids_relation(df, ids, column)
     if fits_broadcast(wanted, max_broadcast):
-        return df.join(F.broadcast(wanted), column, how).select(df.columns)
-    return salted_join(df, wanted, [column], how, spread_by).select(df.columns)
+        wanted = F.broadcast(wanted)
+    return df.join(wanted, column, how).select(df.columns)
 
 
-def _flagged(df: DataFrame, ids: Ids, column: str, flag: str, spread_by: Sequence[str], max_broadcast: int) -> DataFrame:
+def _flagged(df: DataFrame, ids: Ids, column: str, flag: str, max_broadcast: int) -> DataFrame:
     if _inline(ids):
         return df.withColumn(flag, F.coalesce(F.col(column).isin(id_list(ids)), F.lit(False)))
     wanted = ids_relation(df, ids, column).withColumn(flag, F.lit(True))
     if fits_broadcast(wanted.select(column), max_broadcast):
-        joined = df.join(F.broadcast(wanted), column, "left")
-    else:
-        joined = salted_join(df, wanted, [column], "left", spread_by)
-    return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
+        wanted = F.broadcast(wanted)
+    return df.join(wanted, column, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def _given(ids: Ids) -> bool:
@@ -100,23 +90,18 @@ def targeted(
     if not _given(advertiser_ids) and not _given(creative_ids):
         raise ValueError("advertiser ids or creative ids are required")
     if not _given(creative_ids):
-        return listed(df, advertiser_ids, "advertiser_id", ["creative_id"], max_broadcast)
+        return listed(df, advertiser_ids, "advertiser_id", max_broadcast)
     if not _given(advertiser_ids):
-        return listed(df, creative_ids, "creative_id", columns_to_spread(df), max_broadcast)
+        return listed(df, creative_ids, "creative_id", max_broadcast)
     if _inline(advertiser_ids) and _inline(creative_ids):
         return df.filter(
             F.col("advertiser_id").isin(id_list(advertiser_ids)) | F.col("creative_id").isin(id_list(creative_ids))
         )
-    flagged = _flagged(df, advertiser_ids, "advertiser_id", "_by_advertiser", ["creative_id"], max_broadcast)
-    flagged = _flagged(flagged, creative_ids, "creative_id", "_by_creative", columns_to_spread(df), max_broadcast)
+    flagged = _flagged(df, advertiser_ids, "advertiser_id", "_by_advertiser", max_broadcast)
+    flagged = _flagged(flagged, creative_ids, "creative_id", "_by_creative", max_broadcast)
     return flagged.filter(F.col("_by_advertiser") | F.col("_by_creative")).select(columns)
 
 
-def columns_to_spread(df: DataFrame) -> list[str]:
-    """Atomic columns whose values tell rows of one creative apart."""
-    return [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "boolean", "timestamp", "date")]
-
-
 def in_market(df: DataFrame, market: str) -> DataFrame:
     """Records of advertisers located in the market that were shown there."""
     return df.filter((F.col("advertiser_location") == market) & shown_in(F.col("region_stats"), market))

@@ -7,32 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adstrata.operators.skew import HOT_ROWS, hot_keys
 from adstrata.schemas import CREATIVE_KEY, VERSION_KEY
-from adstrata.session import stage
 
 
-def new_versions(
-    incoming: DataFrame, existing: DataFrame, also: Sequence[str] = (), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def new_versions(incoming: DataFrame, existing: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """The incoming rows whose advertiser, creative and text are not in the existing rows.
 
     Equal incoming rows are all kept (see `drop_repeats`), and so are rows with a NULL key. `also`
     names further columns that equal texts are known to share, such as the partition column.
 
-    Both sides meet in one shuffle on the whole key. Incoming copies of one version are split by the
-    skew join, which cannot split the other side: existing creatives with more than `hot_rows` rows
-    are reduced to their distinct versions first. (Reducing all of them would cost a second pass over
-    every text, and hide the shuffle from the skew join.)
+    Texts of a creative meet by 128 bits of their SHA-256, so none of the existing ones is shuffled, and
+    copies of a version are dropped before the shuffle. That aggregation has a key more than the join, which so keeps a shuffle of its
+    own right below it: without one the skew join could not split incoming copies of one version.
     """
-    keys = [*VERSION_KEY, *also]
-    known = existing.select(keys)
-    hot = hot_keys(existing, CREATIVE_KEY, hot_rows)
-    if hot is not None:
-        creative = list(CREATIVE_KEY)
-        large = known.join(hot, creative, "left_semi").distinct()
-        known = known.join(hot, creative, "left_anti").unionByName(large)
-    return incoming.join(known, keys, "left_anti").select(incoming.columns)
+    keys = [*CREATIVE_KEY, *also, "_digest"]
+    digest = F.unhex(F.substring(F.sha2("raw_data", 256), 1, 32))
+    known = existing.withColumn("_digest", digest).select(*keys, F.substring("_digest", 1, 1).alias("_lead"))
+    known = known.distinct().select(keys)
+    return incoming.withColumn("_digest", digest).join(known, keys, "left_anti").select(incoming.columns)
 
 
 def drop_repeats(incoming: DataFrame) -> DataFrame:
@@ -51,40 +43,22 @@ def latest_version(raw: DataFrame) -> DataFrame:
     return newest_per_key(raw, CREATIVE_KEY, [F.desc("metadata_time"), F.asc("raw_data"), F.asc("data_modified")])
 
 
-def version_history(raw: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def version_history(raw: DataFrame) -> DataFrame:
     """The versions of each creative, numbered in load order.
 
     One row per load time and text (by its SHA-256), with the number of stored copies and whether the
-    text differs from the version before. Only digests are shuffled. Creatives with more than
-    `hot_rows` rows are numbered in pieces.
+    text differs from the version before. Only digests are shuffled, and creatives are numbered in pieces.
     """
     versions = (
         raw.select(*CREATIVE_KEY, "metadata_time", "data_modified", F.sha2("raw_data", 256).alias("digest"))
         .groupBy(*CREATIVE_KEY, "metadata_time", "digest", "data_modified")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    hot = hot_keys(raw, CREATIVE_KEY, hot_rows)
-    if hot is None:
-        return _numbered(versions)
-    key = list(CREATIVE_KEY)
-    versions = stage(versions, "versions")  # The digests: the texts are then read only once.
-    ordinary = versions.join(hot, key, "left_anti")
-    large = versions.join(hot, key, "left_semi")
-    return _numbered(ordinary).unionByName(_numbered_in_pieces(large))
-
-
-def _numbered(versions: DataFrame) -> DataFrame:
-    order = Window.partitionBy(*CREATIVE_KEY).orderBy("metadata_time", "digest", "data_modified")
-    return (
-        versions.withColumn("version_no", F.row_number().over(order).cast("long"))
-        .withColumn("_before", F.lag("digest").over(order))
-        .withColumn("changed", F.coalesce(F.col("digest") != F.col("_before"), F.lit(False)))
-        .drop("_before")
-    )
+    return _numbered_in_pieces(versions)
 
 
 def _numbered_in_pieces(versions: DataFrame) -> DataFrame:
-    """The same numbering by pieces of one load time and one leading byte of the digest.
+    """Versions numbered by pieces of one load time and one leading byte of the digest.
 
     Digests spread evenly, so a piece holds about 1/256 of a load. The pieces of a creative number
     256 per load time at most; their totals give each piece its offset.

@@ -65,7 +65,11 @@ select advertiser_id, creative_id, loaded, json_extract_string(raw_data,'$.creat
   json_extract_string(raw_data,'$.advertiser_legal_name') advertiser_legal_name, json_extract_string(raw_data,'$.topic') topic,
   case json_extract_string(raw_data,'$.is_funded_by_google_ad_grants') when 'true' then 1 when 'false' then 0 end funded,
   json_extract_string(raw_data,'$.region_stats[0].first_shown') first_shown, json_extract_string(raw_data,'$.region_stats[0].last_shown') last_shown,
-  json_extract_string(raw_data,'$.audience_selection_approach_info.approach') approach
+  json_extract_string(raw_data,'$.audience_selection_approach_info.approach') approach,
+  json_extract_string(raw_data,'$.advertiser_disclosed_name') advertiser_disclosed_name,
+  json_extract_string(raw_data,'$.advertiser_location') advertiser_location,
+  json_extract_string(raw_data,'$.advertiser_verification_status') advertiser_verification_status,
+  cast(json_extract(raw_data,'$.region_stats') as varchar) region_stats
 from versions""",
 }
 
@@ -146,6 +150,20 @@ _QUERIES = {
     when s='F' and contains(e.first_shown,'-0') then 'first_shown' when s='P' then 'last_shown' end reason
   from (select *, advertiser_verification_status s, (list_filter(region_stats, lambda x: x.region_code='EUROPE'))[1] e
     from creative_stats where advertiser_location='EUROPE') m where e is not null) r where reason is not null""",
+    ),
+    "unusable_for_refresh": (
+        ["creative_stats"],
+        """select * from (select advertiser_id, creative_id, case when is_funded_by_google_ad_grants then 'more than one entry'
+    when s='F' and contains(e.first_shown,'-0') then 'first_shown' end reason
+  from (select *, advertiser_verification_status s, (list_filter(region_stats, lambda x: x.region_code='EUROPE'))[1] e
+    from creative_stats where advertiser_location='EUROPE') m where e is not null) r where reason is not null""",
+    ),
+    "refresh_lenient": (
+        ["creative_stats"],
+        """select e.first_shown data_modified, advertiser_id, creative_id
+  from (select *, advertiser_verification_status s, (list_filter(region_stats, lambda x: x.region_code='EUROPE'))[1] e
+    from creative_stats where advertiser_location='EUROPE') m
+  where e is not null and not is_funded_by_google_ad_grants and not (s='F' and contains(e.first_shown,'-0'))""",
     ),
     "parsed_days": (
         [],
@@ -207,7 +225,7 @@ _QUERIES = {
         ["creative_stats"],
         "select creative_page_url url, string_split(creative_page_url,'/')[5] advertiser_id from creative_stats",
     ),
-    "lowercase_columns": ([], "select * from customer"),
+    "lowercase_columns": ([], "select * replace (upper(c_name) as c_name) from customer"),
     "valid_email": (
         [],
         r"""select c_custkey, email, cast(regexp_matches(email,'^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+$') as int) valid from (

@@ -36,10 +36,15 @@ def store_code(
 def forget_codes(emails: DataFrame, table: TableRef, folder: str) -> TableRef:
     """Delete the codes of the given addresses.
 
-    The rows left are written to a new folder under `folder`, and the table is then pointed at it, so
-    readers see the table before or after the deletion. Returns the table at its new place.
+    The rows left are written to a new folder under `folder`, the table is pointed at it, and the files of the
+    old folder are then removed. A query that still reads those fails and has to be run again; nothing else
+    may write to the table meanwhile. Returns the table at its new place.
     """
     spark = emails.sparkSession
     place = f"{folder.rstrip('/')}/{table.name}-{uuid.uuid4().hex}"
-    delete_codes(table.read_anew(spark), emails).write.parquet(place)
-    return move_to(spark, table, place)
+    stored = table.read_anew(spark)
+    before = table.folder(spark)
+    delete_codes(stored, emails).write.parquet(place)
+    moved = move_to(spark, table, place)
+    spark.createDataFrame([], stored.schema).write.mode("overwrite").parquet(before)
+    return moved

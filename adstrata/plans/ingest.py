@@ -58,12 +58,13 @@ def finish(spark: SparkSession, target: Target, result: RunResult) -> RunResult:
     return result
 
 
-def load_new(candidates: DataFrame, target: Target, prune: bool = True) -> int:
+def load_new(candidates: DataFrame, target: Target, prune: bool = True, advertisers: Ids = None) -> int:
     """Append the candidate rows whose version is not stored yet; returns how many were added.
 
     With `prune` the candidates are written out first: they then tell which partitions and creatives
     of the raw table to read back. Without it, for loads that touch nearly all of the table, the
-    candidates go straight into the join.
+    candidates go straight into the join. `advertisers` names all that the candidates can have; stored rows
+    of others are then not compared.
 
     Running it again after a failure adds only what is missing. One writer per table at a time.
     """
@@ -78,6 +79,8 @@ def load_new(candidates: DataFrame, target: Target, prune: bool = True) -> int:
     if prune:
         candidates = stage(candidates, "candidates")
         stored = relevant_history(stored, candidates)
+    elif advertisers is not None:
+        stored = listed(stored, advertisers)
     return append_raw(new_versions(candidates, stored, also=[PARTITION_COLUMN]), target.raw)
 
 

@@ -25,8 +25,9 @@ def refresh_all(
     ingest_time: datetime | None = None,
 ) -> RunResult:
     """New versions of every creative of the tracked advertisers. The raw table must exist."""
-    records = market_records(listed(source, tracking.select("advertiser_id")), target.market, target.strict)
-    added = load_new(raw_rows(records, ingest_time), target, prune=False)
+    tracked = tracking.select("advertiser_id")
+    records = market_records(listed(source, tracked), target.market, target.strict)
+    added = load_new(raw_rows(records, ingest_time), target, prune=False, advertisers=tracked)
     return _result(spark, target, "refresh_all", added)
 
 

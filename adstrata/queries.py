@@ -95,9 +95,8 @@ def repeated_entries(spark, sf_dir):
     )
 
 
-@query
-def unusable_records(spark, sf_dir):
-    """Records set aside: some with a repeated entry, some with an unpadded or missing day."""
+def _damaged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source with repeated entries, unpadded first days and missing last days."""
     status = F.col("advertiser_verification_status")
 
     def damaged(entry):
@@ -111,8 +110,31 @@ def unusable_records(spark, sf_dir):
 
     regions = F.transform("region_stats", damaged)
     twice = F.when(F.col("is_funded_by_google_ad_grants"), F.concat(regions, regions))
-    source = samples.creative_stats(spark, sf_dir).withColumn("region_stats", F.coalesce(twice, regions))
-    return projection.unusable_records(source, MARKET).select("advertiser_id", "creative_id", "reason")
+    return samples.creative_stats(spark, sf_dir).withColumn("region_stats", F.coalesce(twice, regions))
+
+
+@query
+def unusable_records(spark, sf_dir):
+    """Records that no window load stores."""
+    unusable = projection.unusable_records(_damaged_source(spark, sf_dir), MARKET)
+    return unusable.select("advertiser_id", "creative_id", "reason")
+
+
+@query
+def unusable_for_refresh(spark, sf_dir):
+    """Records that no refresh stores."""
+    unusable = projection.unusable_records(_damaged_source(spark, sf_dir), MARKET, "refresh")
+    return unusable.select("advertiser_id", "creative_id", "reason")
+
+
+@query
+def refresh_lenient(spark, sf_dir):
+    """What a lenient refresh of the damaged source does store."""
+    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, strict=False)
+    ensure_raw_table(spark, target.raw)
+    source = _damaged_source(spark, sf_dir)
+    refresh.refresh(spark, "all", source, source.select("advertiser_id").distinct(), target)
+    return target.raw.read(spark).select(_day_text("data_modified"), "advertiser_id", "creative_id")
 
 
 @query
@@ -303,7 +325,8 @@ def advertiser_from_url(spark, sf_dir):
 @query
 def lowercase_columns(spark, sf_dir):
     customers = samples.table(spark, sf_dir, "customer")
-    return lower_case_columns(customers.toDF(*[c.upper() for c in customers.columns]))
+    upper = customers.toDF(*[c.upper() for c in customers.columns])
+    return lower_case_columns(upper.select("*", F.upper("C_NAME").alias("c_name")))
 
 
 @query
@@ -391,6 +414,10 @@ def stg_creatives(spark, sf_dir):
         F.col("first_shown_date").cast("string").alias("first_shown"),
         F.col("last_shown_date").cast("string").alias("last_shown"),
         F.col("audience_selection_approach_info.approach").alias("approach"),
+        "advertiser_disclosed_name",
+        "advertiser_location",
+        "advertiser_verification_status",
+        F.to_json("region_stats").alias("region_stats"),
         utc_day(F.col("metadata_time")).cast("string").alias("loaded"),
     )
 

@@ -36,6 +36,11 @@ class TableRef:
         spark.catalog.refreshTable(self.name)
         return self.read(spark)
 
+    def folder(self, spark: SparkSession) -> str:
+        """Where the catalog has the table's files."""
+        described = spark.sql(f"DESCRIBE FORMATTED {self.name}")
+        return described.filter("col_name = 'Location'").first()["data_type"]
+
     def create(self, spark: SparkSession, schema: T.StructType, partitioned_by: str | None = None) -> None:
         """Create the table if it is absent. Files already in its folder become its rows."""
         if "." in self.name:

@@ -5,12 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adstrata.operators.codes import check_codes
 from adstrata.sources.tables import TableRef, append
 
 
+def append_once(rows: DataFrame, table: TableRef, stream: str, batch: int) -> bool:
+    """Append a micro-batch with the columns `stream` and `batch`, unless it is stored already.
+
+    A stream that fails after the append and before its own commit runs that batch again. An append is all
+    or nothing, so one stored row of the batch tells that all are.
+    """
+    spark = rows.sparkSession
+    marks = {"stream": F.lit(stream), "batch": F.lit(batch).cast("long")}
+    if table.exists(spark):
+        stored = table.read_anew(spark)
+        if not stored.filter((F.col("batch") == marks["batch"]) & (F.col("stream") == marks["stream"])).isEmpty():
+            return False
+    marked = rows.withColumns(marks)
+    append(marked, table, marked.schema)
+    return True
+
+
 def check_stream(
     attempts: DataFrame,
     codes: Callable[[], DataFrame],
@@ -18,11 +36,10 @@ def check_stream(
     checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """Append the checked attempts of each micro-batch, against the codes stored by then."""
+    """Append the checked attempts of each micro-batch once, against the codes stored by then."""
 
-    def check(batch: DataFrame, _: int) -> None:
-        checked = check_codes(batch, codes(), **options)
-        append(checked, results, checked.schema)
+    def check(batch: DataFrame, number: int) -> None:
+        append_once(check_codes(batch, codes(), **options), results, checkpoint, number)
 
     return (
         attempts.writeStream.foreachBatch(check)

@@ -9,7 +9,7 @@ from builders import MARKET, creative, raw, source
 from pyspark.sql import functions as F
 
 from adstrata.operators.media import page_outcomes
-from adstrata.operators.projection import market_records, raw_rows
+from adstrata.operators.projection import market_records, raw_rows, unusable_records
 from adstrata.plans import codes as code_plans
 from adstrata.plans import ingest, marts, refresh
 from adstrata.plans.media import MediaResult, advertiser_ids_of_links, media_links_job
@@ -17,7 +17,7 @@ from adstrata.plans.status import IngestStatus, RefreshMode
 from adstrata.schemas import CODE_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
 from adstrata.sources.config import Environment, load_environment
 from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, with_partition
-from adstrata.streaming.codes import check_stream
+from adstrata.streaming.codes import append_once, check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
 S = IngestStatus
@@ -291,6 +291,44 @@ def test_attempts_checked_as_they_arrive(spark, new_table, tmp_path):
     assert sorted(r.status for r in results.read(spark).collect()) == ["invalid_code", "unknown_email", "verified"]
 
 
+def test_a_batch_that_comes_again_is_stored_once(spark, new_table):
+    rows, results = spark.range(3), new_table("results")
+    assert append_once(rows, results, "s", 0) and not append_once(rows, results, "s", 0)
+    assert append_once(rows, results, "s", 1) and append_once(rows, results, "other", 0)
+    assert results.read_anew(spark).count() == 9
+
+
+# --- records that can't be stored ---
+
+DAMAGED = {
+    "more than one entry": ((MARKET, "2024-01-05", "2024-01-09"), (MARKET, "2024-02-05", "2024-02-09")),
+    "first_shown": ((MARKET, "2024-1-5", "2024-01-09"),),
+    "last_shown": ((MARKET, "2024-01-05", "garbage"),),
+}
+
+
+@pytest.mark.parametrize("load", ["window", "refresh"])
+@pytest.mark.parametrize("reason", DAMAGED)
+def test_what_the_report_lists_is_not_stored(spark, new_table, load, reason):
+    df = source(spark, creative(number="bad", regions=DAMAGED[reason]))
+    advertisers = df.select("advertiser_id")
+
+    def added(strict):
+        target = ingest.Target(new_table("raw"), MARKET, strict=strict)
+        ensure_raw_table(spark, target.raw)
+        if load == "refresh":
+            return refresh.refresh_all(spark, df, advertisers, target).rows_added
+        return ingest.backfill(spark, df, target, advertisers, "2024-01-01", "2024-12-31").rows_added
+
+    listed_for = [r.reason for r in unusable_records(df, MARKET, load).collect()]
+    if (load, reason) == ("refresh", "last_shown"):
+        assert listed_for == [] and added(strict=False) == added(strict=True) == 1
+    else:
+        assert listed_for == [reason] and added(strict=False) == 0
+        with pytest.raises(Exception):
+            added(strict=True)
+
+
 # --- media, codes, marts ---
 
 
@@ -338,6 +376,7 @@ def test_forget_codes(spark, new_table, tmp_path):
         assert code_plans.store_code(spark, table, email, "1")
     gone = spark.createDataFrame([("a@b.c",), (None,)], "email string")
     moved = code_plans.forget_codes(gone, table, str(tmp_path))
+    assert spark.read.schema(CODE_SCHEMA).parquet(table.location).count() == 0
     assert [r.email for r in moved.read(spark).collect()] == ["d@e.f"]
     assert code_plans.store_code(spark, moved, "a@b.c", "2")
     assert moved.read(spark).count() == table.read(spark).count() == 2
