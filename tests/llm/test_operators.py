@@ -183,6 +183,41 @@ def test_lines(spark, documents, nothing):
     assert line_dedup.without_repeats(nothing).count() == 0
 
 
+def test_lines_link_by_a_share_of_their_length(spark):
+    rng = np.random.default_rng(4)
+    letters = list("etaoin shrdlu é😀")
+
+    def changed(text, edits):
+        out = list(text)
+        for _ in range(edits):
+            at = int(rng.integers(0, len(out)))
+            out[at : at + int(rng.integers(0, 2))] = list(rng.choice(["", "q", "xy"]))[:1]
+        return "".join(out)
+
+    texts = ["two words", "a b"] * 2
+    for n in (20, 25, 39, 40, 41, 59, 99, 130, 400):
+        for share in (20, 15, 30):
+            base = "z" + "".join(rng.choice(letters, n - 2)) + "z"
+            texts += [base, changed(base, max(1, n // share))]
+    texts += ["x" * 400, "x" * 410, "x" * 440, "one"] + ["one"]
+    found = line_dedup.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(texts):
+        for j in range(i):
+            b, most = texts[j], min(len(a), len(texts[j])) // 20
+            if a != "one" and (a == b or abs(len(a) - len(b)) <= most and distance(a, b) <= most):
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    assert {r.doc_id for r in found if r.removed} == {i for i in range(len(texts)) if find(i) != i}
+    assert sum(1 for r in found if r.removed) > 20
+
+
 def test_trie_finds_all_links():
     rng = np.random.default_rng(0)
     for _ in range(60):
