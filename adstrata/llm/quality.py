@@ -2,7 +2,8 @@
 
 Every document is measured. A sketch of each measure is kept per language and source: whole numbers fall into bins that
 are 1/32 of their value wide, and a sketch is the count of each bin. Sketches merge by adding, in any order, so a rerun
-gives the same thresholds. A fence is set `FENCE` interquartile ranges beyond the quartiles. Groups of fewer than
+gives the same thresholds. A fence is set `FENCE` interquartile ranges beyond a quantile: the quartiles for the length of
+words, and a higher one for measures that are zero in most documents, whose quartiles say nothing. Groups of fewer than
 `ENOUGH` documents use the sketch of their language, and small languages that of all documents.
 """
 
@@ -22,12 +23,13 @@ ENOUGH = 200
 _SPACE, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 WINDOW = 5
 
-#: Measures per 1000 words, what the least distance of the fence from the quartiles is, and whether there is a lower one.
+#: What is counted, per 1000 of what, the percentile from which the upper fence is set, and, if there is a lower fence, the
+#: least distance of the fences from the quartiles. In a group where few have a symbol, any symbol is beyond the fence.
 MEASURES = {
-    "symbols": ("n_symbols", 50, False),
-    "repeats": ("n_repeat_words", 150, False),
-    "lines": ("n_dup_lines", 50, False),
-    "length": ("word_chars", 3000, True),
+    "symbols": ("n_symbols", "n_words", 90, None),
+    "repeats": ("n_repeat_words", "n_words", 99, None),
+    "lines": ("n_dup_lines", "n_lines", 99, None),
+    "length": ("word_chars", "n_words", 75, 3000),
 }
 
 
@@ -57,17 +59,17 @@ def _repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def measure(text: str | None) -> tuple[int, int, int, int, int]:
-    """Words, characters in words, symbols, lines like an earlier one, words in repeated windows."""
+def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
+    """Words, characters in words, symbols, lines like an earlier one, words in repeated windows, lines."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     spaces = len(raw) - len(raw.translate(None, _SPACE))
     symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
     lines = [line for line in raw.split(b"\n") if line.strip(_SPACE)]
-    return len(words), len(text or "") - spaces, symbols, len(lines) - len(set(lines)), _repeated(words)
+    return len(words), len(text or "") - spaces, symbols, len(lines) - len(set(lines)), _repeated(words), len(lines)
 
 
-_MEASURED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_MEASURED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
 def _measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -82,7 +84,7 @@ def binned(value: Column) -> Column:
 
 
 def _rates() -> dict[str, Column]:
-    return {m: F.floor(1000 * F.col(c) / F.greatest("n_words", F.lit(1))).cast("long") for m, (c, _, _) in MEASURES.items()}
+    return {m: F.floor(1000 * F.col(c) / F.greatest(per, F.lit(1))).cast("long") for m, (c, per, _, _) in MEASURES.items()}
 
 
 def sketches(measured: DataFrame) -> DataFrame:
@@ -96,15 +98,15 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     merged = sketch.groupBy(*keys, "measure", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     merged = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("docs", F.sum("n").over(group))
-    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("docs") * q, F.col("bin")))
-    found = merged.groupBy(*keys, "measure", "docs").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
-    least, lower = F.lit(None), F.lit(None)
-    for name, (_, distance, two_sided) in MEASURES.items():
+    top, least = F.lit(75), F.lit(None)
+    for name, (_, _, percentile, distance) in MEASURES.items():
+        top = F.when(F.col("measure") == name, percentile).otherwise(top)
         least = F.when(F.col("measure") == name, distance).otherwise(least)
-        lower = F.when(F.col("measure") == name, two_sided).otherwise(lower)
+    quantile = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("docs") * q, F.col("bin")))
+    found = merged.groupBy(*keys, "measure", "docs").agg(quantile(25).alias("q1"), quantile(75).alias("q3"), quantile(top).alias("top"))
     reach = F.greatest((F.col("q3") - F.col("q1")) * FENCE, least)
-    low = F.when(lower, F.col("q1") - reach).otherwise(F.lit(0)).cast("long")
-    return found.select(*keys, "measure", "docs", low.alias("low"), (F.col("q3") + reach).cast("long").alias("high"))
+    low = F.when(least.isNotNull(), F.col("q1") - reach).otherwise(F.lit(0)).cast("long")
+    return found.select(*keys, "measure", "docs", low.alias("low"), (F.col("top") + reach).cast("long").alias("high"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
@@ -136,6 +138,7 @@ def judged(documents: DataFrame) -> DataFrame:
     found = rows.join(limits, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left")
     inside = F.lit(True)
     for name, rate in _rates().items():
+        rate = rate if MEASURES[name][3] else binned(rate)  # a quantile is the lower end of a bin, and all of it is inside
         inside = inside & rate.between(F.col(f"low_{name}"), F.col(f"high_{name}"))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return found.select("doc_id", "lang", "source", *_MEASURED, "base_failed", kept.alias("kept"))

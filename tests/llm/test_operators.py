@@ -144,6 +144,17 @@ def test_measures(documents, nothing):
         assert r.n_symbols == len(re.findall(r"[#*$%&|<>]", text)) and r.n_dup_lines == len(lines) - len(set(lines))
 
 
+def test_fences_follow_the_group_for_repeated_lines(spark):
+    def text(i, repeats):
+        lines = [" ".join(f"{(i * 15 + k) % 997:03d}{j:02d}" for j in range(40)) for k in range(15)]
+        return "\n".join(x + ("\nsee also" if k < 5 and repeats else "") for k, x in enumerate(lines))
+
+    rows = [(i, text(i, i < 2), "en", "few") for i in range(300)] + [(1_000 + i, text(i, i < 90), "en", "many") for i in range(300)]
+    rows.append((2_000, text(1, False) + " #", "en", "few"))
+    kept = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {i for i, k in kept.items() if not k} == {0, 1, 2_000}
+
+
 def distance(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
