@@ -22,10 +22,12 @@ from adstrata.llm.common import row_key, stage
 #: No language: a text without letters, or no language learned.
 UNDETERMINED = "und"
 LONGEST_GRAM = 4
-#: The classifier is fitted on about so many labelled texts, chosen by hash, and all of them if there are fewer.
+#: The classifier is fitted on about so many labelled texts, chosen by hash, and all of them if there are fewer. A language of
+#: which these hold less than an equal share is represented by such a share, or by all of its texts.
 TRAINING_TEXTS = 20_000
-#: The most frequent words and n-grams that are kept, over all languages. This bounds what is sent to executors.
-MOST_WORDS, MOST_GRAMS = 60_000, 40_000
+#: The words and n-grams that are kept: so many of the most frequent over all languages, and of each language its most
+#: frequent up to an equal share of so many. This bounds what is sent to executors, by twice the number.
+MOST_WORDS, MOST_GRAMS = 200_000, 100_000
 _LETTERS = regex.compile(r"\p{L}+")
 _REMEMBERED = 200_000
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -52,10 +54,14 @@ def _unseen(word: str, grams: dict[str, int], rows: np.ndarray) -> np.ndarray:
     return np.zeros(rows.shape[1])
 
 
-def _bounded(counts: DataFrame, most: int) -> pd.DataFrame:
-    """`gram`, `label`, `n` of the `most` most frequent grams, ties in order of the grams."""
-    chosen = counts.groupBy("gram").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "gram").limit(most)
-    return counts.join(F.broadcast(chosen.select("gram")), "gram").select("gram", "label", "n").toPandas()
+def _bounded(counts: DataFrame, most: int, languages: list[str]) -> pd.DataFrame:
+    """`gram`, `label`, `n` of the `most` most frequent grams, and of an equal share per language; ties in order of the grams."""
+    chosen = counts.groupBy("gram").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "gram").limit(most).select("gram")
+    for language in languages:
+        own = counts.filter(F.col("label") == language).orderBy(F.desc("n"), "gram")
+        chosen = chosen.union(own.limit(-(-most // len(languages))).select("gram"))
+    chosen = F.broadcast(chosen.distinct())
+    return counts.join(chosen, "gram").select("gram", "label", "n").toArrow().to_pandas()
 
 
 def _log_frequencies(counted: pd.DataFrame, languages: list[str]) -> tuple[list[str], np.ndarray]:
@@ -74,12 +80,14 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Langu
 
     With no such rows the model has no languages. Repeated rows count as often as they are there.
     """
-    labelled = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).dropna()
-    rows = labelled.select("label").count()
-    if not rows:
+    labelled = labelled.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).dropna()
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    if not sizes:
         return LanguageModel([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
-    share = min(1.0, TRAINING_TEXTS / rows)
-    chosen = labelled.filter(F.pmod(row_key("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = sum(sizes.values())
+    shares = {x: min(1.0, max(TRAINING_TEXTS / rows, TRAINING_TEXTS / len(sizes) / n)) for x, n in sizes.items()}
+    limits = labelled.sparkSession.createDataFrame([(x, int(s * 1_000_000)) for x, s in shares.items()], "label string, most long")
+    chosen = labelled.join(F.broadcast(limits), "label").filter(F.pmod(row_key("text"), F.lit(1_000_000)) < F.col("most"))
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")))
     counts = stage(chosen.select("label", words.alias("gram")).groupBy("label", "gram").agg(F.count("*").alias("n")), "words")
     padded = F.concat(F.lit("<"), "gram", F.lit(">"))
@@ -87,9 +95,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Langu
     every = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(LONGEST_GRAM)), lambda n: F.substring(padded, i, n))))
     grams = counts.select("label", "n", F.explode(F.array_distinct(every)).alias("gram"))
     grams = grams.groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    # A language is one that has a word, among the texts chosen.
     languages = sorted(r[0] for r in counts.select("label").distinct().collect())
-    words, word_rows = _log_frequencies(_bounded(counts, MOST_WORDS), languages)
-    return LanguageModel(languages, words, word_rows, *_log_frequencies(_bounded(stage(grams, "grams"), MOST_GRAMS), languages))
+    words, word_rows = _log_frequencies(_bounded(counts, MOST_WORDS, languages), languages)
+    return LanguageModel(languages, words, word_rows, *_log_frequencies(_bounded(stage(grams, "grams"), MOST_GRAMS, languages), languages))
 
 
 def _predictions(model: LanguageModel, texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -355,6 +355,15 @@ def test_languages(spark, documents, nothing):
     assert {r.lang_pred for r in language_id.predict(documents, nobody).collect()} == {"und"}
 
 
+def test_small_languages_keep_their_words(spark, monkeypatch):
+    assert language_id.MOST_WORDS >= 200_000 and language_id.MOST_GRAMS >= 100_000
+    monkeypatch.setattr(language_id, "MOST_WORDS", 20)
+    monkeypatch.setattr(language_id, "TRAINING_TEXTS", 40)
+    large = [(f"{' '.join(WORDS)} {i}", "en") for i in range(2_000)]
+    model = language_id.train(spark.createDataFrame([*large, ("der die das", "de")], "text string, lang string"))
+    assert model.languages == ["de", "en"] and {"der", "die", "das"} <= set(model.words)
+
+
 def test_digests_are_those_of_the_bytes(spark):
     row = spark.sql("select cast('a' as binary) b").select(F.sha2("b", 256).alias("h")).first()
     assert row.h == hashlib.sha256(b"a").hexdigest()
