@@ -2,8 +2,9 @@
 
 The base matches of four kinds are seeds. The words before them are lexical patterns. Patterns and the instances that follow
 them form a graph, which is scored in rounds: a pattern's confidence for a kind is the mean confidence of its instances, and
-an instance that looks like the kind gets the best confidence of its patterns. Words with digits or an `@` that follow
-confident patterns, and that the base rules miss, are thus found.
+an instance that looks like the kind gets the best confidence of its patterns. Words with digits or an `@`, and groups of
+digits joined by single spaces, dots, brackets or hyphens, that follow confident patterns, and that the base rules miss, are
+thus found. A word inside such groups is found only if they are not.
 
 Everything is an expression of the DataFrame. Quantifiers are possessive and starts are anchored, so that no text makes a
 pattern backtrack; the matches are those of the plain patterns in `KINDS`.
@@ -11,7 +12,7 @@ pattern backtrack; the matches are those of the plain patterns in `KINDS`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstrata.llm.common import one_if_small, stage
@@ -32,6 +33,11 @@ _FAST = {
 }
 #: A word with a digit or an `@`.
 _WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Groups of digits joined by single spaces, dots, brackets or hyphens, from the first group on, each at the end of a word or joint.
+_GROUPS = (
+    r"(?<![^\x20\x09-\x0D])\(?+[0-9]++"
+    r"(?:[).-]?+\x20?+[(.-]?+[0-9]++(?![^\x20\x09-\x0D.,;:!?()\]\x22\x27-]))++"
+)
 #: Characters before a match in which its context is looked for.
 LEFT = 64
 #: Rounds; the confidence from which patterns and instances count; distinct instances that a pattern needs.
@@ -101,7 +107,7 @@ def base_spans(documents: DataFrame) -> DataFrame:
                      f"if(contains(text, '{_NEEDS[kind]}'), filter({_matches('text', pattern)}, m -> {_VALID[kind]}), array())")
         for kind, pattern in _FAST.items()
     }
-    rows = rows.withColumns({**found, "words": F.expr(_matches("text", _WORD))})
+    rows = rows.withColumns({**found, "words": F.expr(_matches("text", _WORD)), "groups": F.expr(_matches("text", _GROUPS))})
     tagged = [
         f"transform({kind}, m -> named_struct('first', m.first, 'kind_no', {i}, 'stop', m.stop, 'value', m.value, 'before', m.before))"
         for i, kind in enumerate(KINDS)
@@ -110,7 +116,10 @@ def base_spans(documents: DataFrame) -> DataFrame:
     like = f"(w.value like '%@%' or length({_digits('w.value')}) >= 4)"
     return (
         rows.withColumn("base", F.expr(f"array_sort(concat({', '.join(tagged)}))"))
-        .select("row", "doc_id", "base", F.expr(f"filter(words, w -> {like} and {apart})").alias("words"))
+        .select(
+            "row", "doc_id", "base",
+            F.expr(f"concat(filter(words, w -> {like} and {apart}), filter(groups, w -> w.value like '% %' and {like} and {apart}))").alias("words"),
+        )
     )
 
 
@@ -174,6 +183,8 @@ def find(documents: DataFrame) -> DataFrame:
     """
     spans = stage(base_spans(documents), "spans")
     more = found_in_context(spans).distinct()
+    earlier = Window.partitionBy("row").orderBy("first", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    more = more.withColumn("upto", F.max("stop").over(earlier)).filter("upto is null or upto <= first").drop("upto")
     more = more.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("first", "kind_no", "stop")).alias("more"))
     base = "transform(base, s -> named_struct('first', s.first, 'kind_no', s.kind_no, 'stop', s.stop))"
     rows = spans.select("row", "doc_id", F.expr(base).alias("base"))

@@ -128,6 +128,21 @@ def test_contexts_find_what_the_rules_miss(spark):
     assert found[8] == "email:16:34" and found[9] == ""
 
 
+def test_contexts_find_groups_of_digits(spark):
+    def luhn(n):
+        return sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(map(int, reversed(str(n))))) % 10 == 0
+
+    cards = [str(n) for n in range(4111111111111111, 4111111111111400) if luhn(n)][:20]
+    texts = [f"{prose(i, 5)} call me on +1 (555) 555-01{i:02d} today" for i in range(20)]
+    texts += [f"{prose(i, 5)} my card is {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} thanks" for i, c in enumerate(cards)]
+    values = [("call me on ", "555 0100 123", "phone"), ("call me on ", "(017) 555-7713", "phone"), ("my card is ", "4111 1111 1111 1112", "card")]
+    texts += [f"{before}{value} 4th" for before, value, _ in values] + ["nothing like 555 0100 124 here"]
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, (before, value, kind) in enumerate(values):
+        assert found[40 + i] == f"{kind}:{len(before)}:{len(before) + len(value)}"
+    assert found[43] == ""
+
+
 def test_measures(documents, nothing):
     rows = quality.judged(documents).collect()
     assert len(rows) == documents.count() and quality.judged(nothing).count() == 0
