@@ -7,11 +7,11 @@ from compare import driver, duckdb_over, spark_rows, sql_rows
 from conftest import SF
 from pyspark.sql import functions as F
 
-from adstrata import queries, samples
+from adstrata import oracles, queries, samples
 from adstrata.operators.pruning import relevant_history
 from adstrata.schemas import PARTITION_COLUMN
 
-SQL = driver.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(SQL)
+    assert set(queries.registered()) == set(SQL)
+    assert set(SQL) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
