@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
+from adstrata.llm import alignment, bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -144,3 +144,14 @@ def op10_token_counts(spark, sf_dir):
     trees = token_counts.count_trees(documents, vocabulary(spark)).withColumn("n_before", F.col("n_tokens"))
     after = token_counts.apply_edits(trees, vocabulary(spark))
     return after.select("doc_id", "n_before", F.col("n_tokens").alias("n_after"), "n_encoded", F.size("tree.chars").cast("long").alias("n_leaves"))
+
+
+def tokenizers(spark: SparkSession) -> alignment.Tokenizers:
+    path = public_tokenizers.path
+    return alignment.Tokenizers(spark, path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+@query
+def op13_tokenizer_alignment(spark, sf_dir):
+    """Every text's tokens of two tokenizers, the groups in which they align, and how common its links are."""
+    return alignment.aligned(read(spark, sf_dir, "documents"), tokenizers(spark))
