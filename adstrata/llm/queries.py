@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import alignment, bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
+from adstrata.llm import alignment, bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, simhash, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -146,6 +146,13 @@ def op10_token_counts(spark, sf_dir):
     return after.select("doc_id", "n_before", F.col("n_tokens").alias("n_after"), "n_encoded", F.size("tree.chars").cast("long").alias("n_leaves"))
 
 
+@query
+def op12_simhash_near_duplicates(spark, sf_dir):
+    """Every document's fingerprint, and its class of documents linked by near fingerprints."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
 def tokenizers(spark: SparkSession) -> alignment.Tokenizers:
     path = public_tokenizers.path
     return alignment.Tokenizers(spark, path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
