@@ -2,7 +2,30 @@
 
 from __future__ import annotations
 
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    "op11_hard_negatives": """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+positives as (
+  select a.vec_id anchor_id, a.l, a.v, p.vec_id positive_id, cast(list_inner_product(a.v, p.v) as bigint) positive_score
+  from vectors a join vectors p on a.l = p.l and a.vec_id <> p.vec_id
+  where a.vec_id % 100 = 0
+  qualify row_number() over (partition by a.vec_id order by positive_score desc, p.vec_id) <= 5),
+negatives as (
+  select a.vec_id anchor_id, n.vec_id negative_id, cast(list_inner_product(a.v, n.v) as bigint) negative_score
+  from vectors a join vectors n on a.l <> n.l
+  where a.vec_id % 100 = 0)
+select anchor_id, positive_id,
+  cast(row_number() over (partition by anchor_id, positive_id order by negative_score desc, negative_id) as integer) "rank",
+  negative_id, positive_score, negative_score
+from positives join negatives using (anchor_id)
+where 80 * positive_score <= 100 * negative_score and 100 * negative_score <= 100 * positive_score
+qualify "rank" <= 5""",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import alignment, bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, simhash, token_counts, url_filter
+from adstrata.llm import alignment, bpe, hard_negatives, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, simhash, token_counts, url_filter
 from adstrata.llm.common import read
 from adstrata.llm.tokenizer import Vocabulary
 
@@ -146,6 +146,15 @@ def op10_token_counts(spark, sf_dir):
     return after.select("doc_id", "n_before", F.col("n_tokens").alias("n_after"), "n_encoded", F.size("tree.chars").cast("long").alias("n_leaves"))
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Negatives nearly as near as the positives of every hundredth vector, a seventh of the labels being changed before."""
+    embeddings = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.vectors_of(embeddings.withColumn("label", changed))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op12_simhash_near_duplicates(spark, sf_dir):
     """Every document's fingerprint, and its class of documents linked by near fingerprints."""
