@@ -15,6 +15,7 @@ met before. A text for which that does not hold is one piece.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -32,7 +33,7 @@ from tokenizers import Tokenizer
 from adstrata.llm.common import stage
 
 #: When a worker has met so many pieces, it forgets those it had not met since that happened before. And their greatest length.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 LONGEST = 64
 #: New pieces that are read as one text.
 READ = 2_000
@@ -112,19 +113,20 @@ class _Pair:
         text = lead + "".join(pieces)
         whole = text.encode()
         of_a = self.a.encode(text, add_special_tokens=False)
-        spans_b = [(p.id, p.begin, p.end) for p in self.b.encode(text[1:], return_type="proto", num_threads=1).pieces]
+        of_b = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
+        list_a, list_b = of_a.ids, [p.id for p in of_b]
         if text == " ":  # B reads nothing where it is given nothing
-            spans_b = [(self.b.piece_to_id(_SPACE), 0, 0)]
-        ids_a, ids_b = np.array(of_a.ids, np.int64), np.array([i for i, _, _ in spans_b], np.int64)
-        spelt = b"".join([self.bytes_a[i] for i in of_a.ids]) == whole == b"".join([self.bytes_b[i] for i, _, _ in spans_b])
+            list_b = [self.b.piece_to_id(_SPACE)]
+        spelt = b"".join([self.bytes_a[i] for i in list_a]) == whole == b"".join([self.bytes_b[i] for i in list_b])
         if not spelt:
             return [None] if len(pieces) == 1 else list(chain.from_iterable(self._read([p]) for p in pieces))
-        spans_a = np.array(of_a.offsets).reshape(-1, 2)
+        ids_a, ids_b = np.array(list_a, np.int64), np.array(list_b, np.int64)
+        spans_a = np.array(list(chain.from_iterable(of_a.offsets))).reshape(-1, 2)
+        # The space before the text is the first piece's.
+        spans_b = np.array([[0] + [p.begin + 1 for p in of_b][1:], [p.end + 1 for p in of_b] or [1]]).T
         if len(whole) > len(text):  # characters to bytes
             codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
             spans_a = np.concatenate(([0], np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))))[spans_a]
-        # The space before the text is the first piece's.
-        spans_b = np.array([(begin + (n > 0), end + 1) for n, (_, begin, end) in enumerate(spans_b)])
         ends_a, ends_b = _ends(spans_a, self.sizes_a[ids_a]), _ends(spans_b, self.sizes_b[ids_b])
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         last_a, last_b = np.searchsorted(ends_a, both), np.searchsorted(ends_b, both)
@@ -193,15 +195,20 @@ def _aligned_texts(tokenizers: Tokenizers) -> Callable[[Iterator[pd.DataFrame]],
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pair = tokenizers.pair
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for held in _held(texts):
-                split = [pair.pieces(t) if t else [] for t in texts[held]]
-                known = pair.learn(list(chain.from_iterable(split)))
-                rows = list(map(one, split, repeat(known)))
-                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"])
-                out.insert(0, "doc_id", frame["doc_id"].iloc[held].to_numpy())
-                yield out
+        gc.disable()  # what is remembered is much and has no cycles; looking through it again and again takes a fifth of the time
+        try:
+            for frame in frames:
+                gc.collect()
+                texts = frame["text"].tolist()
+                for held in _held(texts):
+                    split = [pair.pieces(t) if t else [] for t in texts[held]]
+                    known = pair.learn(list(chain.from_iterable(split)))
+                    rows = list(map(one, split, repeat(known)))
+                    out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"])
+                    out.insert(0, "doc_id", frame["doc_id"].iloc[held].to_numpy())
+                    yield out
+        finally:
+            gc.enable()
 
     return run
 
