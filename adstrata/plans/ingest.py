@@ -6,10 +6,10 @@ import logging
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from adstrata.functions.dates import as_day, look_back, yesterday
-from adstrata.operators.counts import any_rows
 from adstrata.operators.projection import market_records, raw_rows
 from adstrata.operators.pruning import relevant_history
 from adstrata.operators.selection import Ids, between_days, id_list, listed
@@ -58,36 +58,65 @@ def finish(spark: SparkSession, target: Target, result: RunResult) -> RunResult:
     return result
 
 
-def load_new(candidates: DataFrame, target: Target, prune: bool = True, advertisers: Ids = None) -> int:
+def load_new(
+    candidates: DataFrame,
+    target: Target,
+    prune: bool = True,
+    advertisers: Ids = None,
+    gate: Gate | None = None,
+) -> int | None:
     """Append the candidate rows whose version is not stored yet; returns how many were added.
 
     With `prune` the candidates are written out first: they then tell which partitions and creatives
     of the raw table to read back. Without it, for loads that touch nearly all of the table, the
     candidates go straight into the join. `advertisers` names all that the candidates can have; stored rows
-    of others are then not compared.
+    of others are then not compared. A `gate` is asked once the candidates are written; None means it was closed, and
+    nothing was compared or added.
 
     Running it again after a failure adds only what is missing. One writer per table at a time.
     """
+    if gate is not None and not prune:
+        raise ValueError("a gate needs the candidates to be written first")
     spark = candidates.sparkSession
     if target.drop_repeats:
         candidates = drop_repeats(candidates)
     if not target.strict:
         candidates = candidates.dropna(subset=["data_modified"])
-    check_granularity(spark, target.raw, target.granularity)
     candidates = with_partition(candidates, target.granularity)
-    stored = target.raw.read_anew(spark)
     if prune:
         candidates = stage(candidates, "candidates")
+        if gate is not None and not gate.is_open():
+            return None
+    check_granularity(spark, target.raw, target.granularity)
+    stored = target.raw.read_anew(spark)
+    if prune:
         stored = relevant_history(stored, candidates)
     elif advertisers is not None:
         stored = listed(stored, advertisers)
     return append_raw(new_versions(candidates, stored, also=[PARTITION_COLUMN]), target.raw)
 
 
-def data_available(records: DataFrame, start: date, end: date, gate: str = "first_shown") -> bool:
-    """Whether the window has any record, by the day first shown or by the day the load filters on."""
-    column = "first_shown_date" if gate == "first_shown" else "last_shown_date"
-    return any_rows(between_days(records, column, start, end).select(column))
+class Gate:
+    """Whether a window has any record, found out by the pass that loads it.
+
+    Records are counted on their way to the load, by the day first shown or by the day the load filters on, so the
+    source is read once. `is_open` waits for that pass.
+    """
+
+    def __init__(self, start: date, end: date, column: str = "first_shown") -> None:
+        if column not in GATES:
+            raise ValueError(f"gate must be one of {GATES}")
+        self._column = "first_shown_date" if column == "first_shown" else "last_shown_date"
+        self._days = (start, end)
+        self._seen = Observation()
+
+    def watch(self, records: DataFrame) -> DataFrame:
+        """The same records; from here on filters stay above, so none of them is lost to the gate."""
+        inside = F.col(self._column).between(*map(F.lit, self._days))
+        return records.observe(self._seen, F.count_if(inside).alias("inside"))
+
+    def is_open(self) -> bool:
+        return self._seen.get.get("inside", 0) > 0
 
 
 def ingest_window(
@@ -105,18 +134,18 @@ def ingest_window(
     """Load the listed advertisers' creatives last shown in the window.
 
     The gate decides whether there is anything to do. By default it looks at the day first shown, so a
-    window with only re-shown creatives counts as empty; `same_as_insert` looks at the day last shown.
+    window with only re-shown creatives counts as empty; `same_as_insert` looks at the day last shown. It is decided by the
+    pass that writes the candidates, so the source is read once.
     """
-    if gate not in GATES:
-        raise ValueError(f"gate must be one of {GATES}")
     start, end = as_day(start), as_day(end)
+    watched = Gate(start, end, gate)
     if ensure_raw_table(spark, target.raw) is IngestStatus.TABLE_CREATION_FAILED:
         return finish(spark, target, RunResult(job, IngestStatus.TABLE_CREATION_FAILED, 0))
-    records = market_records(listed(source, ids), target.market, target.strict)
-    if not data_available(records, start, end, gate):
-        return finish(spark, target, RunResult(job, IngestStatus.NO_DATA_AVAILABLE, 0))
+    records = watched.watch(market_records(listed(source, ids), target.market, target.strict))
     window = between_days(records, "last_shown_date", start, end)
-    added = load_new(raw_rows(window, ingest_time), target)
+    added = load_new(raw_rows(window, ingest_time), target, gate=watched)
+    if added is None:
+        return finish(spark, target, RunResult(job, IngestStatus.NO_DATA_AVAILABLE, 0))
     status = IngestStatus.DATA_INSERTED if added else IngestStatus.INCOMPLETE_INSERTION
     return finish(spark, target, RunResult(job, status, added))
 

@@ -161,6 +161,39 @@ def test_gate_open_without_rows_to_load(spark, target):
     assert ingest.backfill(spark, df, target, "AR1", "2024-01-05", "2024-01-05").status is S.INCOMPLETE_INSERTION
 
 
+@pytest.mark.parametrize("gate", ["first_shown", "same_as_insert"])
+def test_a_window_reads_the_source_once(spark, new_table, gate):
+    """Gate open with new rows, with known ones, with none in the window, and closed: every row is read once each time."""
+    df = source(spark, *[on(f"2024-01-{d:02}", f"2024-02-{d:02}", number=f"CR{d}") for d in range(1, 29)])
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(advertiser):
+        read.add(1)
+        return advertiser
+
+    watched = df.withColumn("advertiser_id", counted.asNondeterministic()("advertiser_id"))
+    target = ingest.Target(raw=new_table("raw"), market=MARKET)
+    statuses = []
+    for start, end in (("2024-01-20", "2024-02-10"), ("2024-01-20", "2024-02-10"), ("2024-01-05", "2024-01-09"), ("2024-05-01", "2024-05-02")):
+        before = read.value
+        statuses.append(ingest.backfill(spark, watched, target, ["AR1"], start, end, gate=gate).status)
+        assert read.value - before == 28
+    third = S.INCOMPLETE_INSERTION if gate == "first_shown" else S.NO_DATA_AVAILABLE
+    assert statuses == [S.DATA_INSERTED, S.INCOMPLETE_INSERTION, third, S.NO_DATA_AVAILABLE]
+    assert sum(stored(spark, target).values()) == 10
+
+
+def test_a_closed_gate_leaves_the_table_as_it_was(spark, target):
+    """Re-shown creatives are in the window, but the gate looks at the day first shown."""
+    df = source(spark, on("2024-01-01", "2024-01-05"))
+    assert ingest.backfill(spark, df, target, "AR1", "2024-01-05", "2024-01-05").status is S.NO_DATA_AVAILABLE
+    assert target.raw.read_anew(spark).count() == 0
+    assert ingest.backfill(spark, df.limit(0), target, "AR1", "2024-01-05", "2024-01-05").status is S.NO_DATA_AVAILABLE
+    with pytest.raises(ValueError, match="written first"):
+        ingest.load_new(raw(spark, ("A", "1", "t")), target, prune=False, gate=ingest.Gate(date(2024, 1, 1), date(2024, 1, 2)))
+
+
 def test_backfill_arguments(spark, target):
     df = source(spark, creative())
     for ids, start, end in (([], "2024-01-01", "2024-01-02"), ("AR1", None, "2024-01-02"), ("AR1", "2024-1-1", "2024-01-02")):
