@@ -215,6 +215,11 @@ _QUERIES = {
         """select creative_id, case when outcome='video' then youtube_watch_url end youtube_watch_url, case when outcome='video' then 'links' else 'timeouts' end routed_to,
   (select count(*) from outcomes where outcome in ('video','convert_failed')) found from outcomes where outcome in ('video','timeout')""",
     ),
+    "media_loads": (
+        ["outcomes"],
+        "select advertiser_id, case when outcome='video' then 'links' else 'timeouts' end routed_to, count(*) n, cast(1 as bigint) loads "
+        "from outcomes where outcome in ('video','timeout') and advertiser_id <> 'AR00000000000000000002' group by all",
+    ),
     "media_counters": (
         ["outcomes"],
         "select advertiser_id, count(*) total_rows, count(*) total_urls_processed, "

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +13,13 @@ from pyspark.sql import functions as F
 from adstrata.functions.links import url_segment
 from adstrata.operators.media import counters, links, page_outcomes, pages_to_read, timeouts
 from adstrata.operators.projection import lower_case_columns
-from adstrata.schemas import LINK_SCHEMA
+from adstrata.operators.required import enforce
+from adstrata.operators.selection import listed
+from adstrata.schemas import COMMIT_SCHEMA, LINK_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA
 from adstrata.session import stage
-from adstrata.sources.tables import TableRef, append
+from adstrata.sources.tables import TableRef, append, drop_partitions, replace_partition
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -23,22 +30,93 @@ class MediaResult:
     timeouts_inserted: int
 
 
+@dataclass(frozen=True)
+class MediaTables:
+    """The tables of the media job, and the table of its commits, which tells what of the other two counts.
+
+    A load writes its rows under its own id and then one row of commits. Readers keep the rows of committed loads, so they
+    see both tables with a load or both without it. One writer at a time.
+    """
+
+    links: TableRef
+    timeouts: TableRef
+    loads: TableRef
+
+    def create(self, spark: SparkSession) -> None:
+        for table, schema, partitioned_by in (
+            (self.links, LOADED_LINK_SCHEMA, LOAD_COLUMN),
+            (self.timeouts, LOADED_LINK_SCHEMA, LOAD_COLUMN),
+            (self.loads, COMMIT_SCHEMA, None),
+        ):
+            if not table.exists(spark):
+                table.create(spark, schema, partitioned_by)
+
+    def committed(self, table: TableRef, spark: SparkSession) -> DataFrame:
+        """The rows of `links` or `timeouts` that count, by the commits as they are now."""
+        loads = self.loads.read_anew(spark).select(LOAD_COLUMN)
+        return listed(table.read_anew(spark), loads, LOAD_COLUMN)
+
+    def read_links(self, spark: SparkSession) -> DataFrame:
+        return self.committed(self.links, spark)
+
+    def read_timeouts(self, spark: SparkSession) -> DataFrame:
+        return self.committed(self.timeouts, spark)
+
+    def result_of(self, spark: SparkSession, load_id: str) -> MediaResult | None:
+        """What a load counted; None as long as it is not committed."""
+        rows = self.loads.read_anew(spark).filter(F.col(LOAD_COLUMN) == load_id).limit(1).collect()
+        names = MediaResult.__dataclass_fields__
+        return MediaResult(**{name: rows[0][name] for name in names}) if rows else None
+
+    def sweep(self, spark: SparkSession) -> list[str]:
+        """Remove what loads without a commit left behind, and return their ids. No load may be running."""
+        done = {r[0] for r in self.loads.read_anew(spark).select(LOAD_COLUMN).collect()}
+        left: set[str] = set()
+        for table in (self.links, self.timeouts):
+            left |= set(drop_partitions(spark, table, LOAD_COLUMN, keep=done))
+        return sorted(left)
+
+
+def load_id_of(outcomes: DataFrame) -> str:
+    """An id for a load by what is in it: the same rows, in any order, have the same id; any other rows another one."""
+    text = F.to_json(F.struct(*outcomes.columns), {"ignoreNullFields": "false"})
+    sums = [F.sum(F.xxhash64(F.lit(seed), text).cast("decimal(38,0)")).alias(f"s{seed}") for seed in range(2)]
+    found = outcomes.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    return f"{found.n}-" + "-".join(f"{int(found[f's{seed}'] or 0) % 2**64:016x}" for seed in range(2))
+
+
 def media_links_job(
     spark: SparkSession,
     pages: DataFrame,
-    links_table: TableRef,
-    timeouts_table: TableRef,
+    tables: MediaTables,
     advertiser_id: str | None = None,
+    load_id: str | None = None,
 ) -> MediaResult:
     """Route the pages of one advertiser, or of all, to the table of links or the table of timeouts.
 
     The HTML is read once: the outcomes, without it, are staged, and both tables and the counters are
-    filled from them.
+    filled from them. A load that is committed already adds nothing and returns what it counted; one that failed half-way is
+    written again. Loads are told apart by `load_id`, or else by their outcomes, so the same pages count once.
     """
+    if load_id is not None and not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
+        raise ValueError("a load id has letters, digits, hyphens and underscores")
+    tables.create(spark)
+    if load_id is not None and (known := tables.result_of(spark, load_id)) is not None:
+        return known
     outcomes = stage(page_outcomes(pages_to_read(lower_case_columns(pages), advertiser_id)), "outcomes")
-    append(links(outcomes), links_table, LINK_SCHEMA)
-    append(timeouts(outcomes), timeouts_table, LINK_SCHEMA)
-    return MediaResult(**counters(outcomes).first().asDict())
+    load_id = load_id or load_id_of(outcomes)
+    known = tables.result_of(spark, load_id)
+    if known is not None:
+        log.info("load %s was committed before", load_id)
+        return known
+    required = [f.name for f in LINK_SCHEMA.fields if not f.nullable]
+    for rows, table in ((links(outcomes), tables.links), (timeouts(outcomes), tables.timeouts)):
+        replace_partition(enforce(rows, required), table, LOADED_LINK_SCHEMA, LOAD_COLUMN, load_id)
+    counted = counters(outcomes).first()
+    now = datetime.now(timezone.utc)
+    commit = spark.createDataFrame([(load_id, *counted, now)], COMMIT_SCHEMA)
+    append(commit.coalesce(1), tables.loads, COMMIT_SCHEMA)
+    return MediaResult(**counted.asDict())
 
 
 def advertiser_ids_of_links(urls: DataFrame, column: str = "url") -> DataFrame:

@@ -17,11 +17,11 @@ from adstrata.operators import codes, media, projection, required, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
 from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
-from adstrata.plans.media import advertiser_ids_of_links, media_links_job
+from adstrata.plans.media import MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.samples import MARKET, REFRESH_TIME
-from adstrata.schemas import PARTITION_COLUMN, RECORD_FIELDS
+from adstrata.schemas import LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import staging_path
-from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, with_partition
+from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
@@ -299,16 +299,22 @@ def media_counters(spark, sf_dir):
     return media.counters(_outcomes(spark, sf_dir), "advertiser_id")
 
 
+def _media_tables(spark: SparkSession) -> MediaTables:
+    return MediaTables(*(_scratch_table(spark, label) for label in ("links", "timeouts", "loads")))
+
+
+def _routed(tables: MediaTables, spark: SparkSession) -> DataFrame:
+    return tables.read_links(spark).withColumn("routed_to", F.lit("links")).unionByName(
+        tables.read_timeouts(spark).withColumn("routed_to", F.lit("timeouts"))
+    )
+
+
 @query
 def media_routed(spark, sf_dir):
     """The whole media job: the rows it put in each table, and its counters."""
-    links, timeouts = _scratch_table(spark, "links"), _scratch_table(spark, "timeouts")
-    result = media_links_job(spark, samples.creative_pages(spark, sf_dir), links, timeouts)
-    routed = (
-        links.read(spark).withColumn("routed_to", F.lit("links"))
-        .unionByName(timeouts.read(spark).withColumn("routed_to", F.lit("timeouts")))
-    )
-    return routed.select(
+    tables = _media_tables(spark)
+    result = media_links_job(spark, samples.creative_pages(spark, sf_dir), tables)
+    return _routed(tables, spark).select(
         "creative_id",
         "youtube_watch_url",
         "routed_to",
@@ -316,6 +322,21 @@ def media_routed(spark, sf_dir):
     )
 
 
+@query
+def media_loads(spark, sf_dir):
+    """Loads advertiser by advertiser: one run again, one of all the rest, and one that stopped before its commit."""
+    tables, pages = _media_tables(spark), samples.creative_pages(spark, sf_dir)
+    first, second = "AR00000000000000000001", "AR00000000000000000002"
+    for _ in range(2):
+        media_links_job(spark, pages, tables, advertiser_id=first)
+    media_links_job(spark, pages.filter(~F.col("advertiser_id").isin(first, second)), tables, load_id="rest")
+    stopped = media.links(media.page_outcomes(media.pages_to_read(pages, second)))
+    replace_partition(stopped, tables.links, LOADED_LINK_SCHEMA, LOAD_COLUMN, "stopped")
+    return _routed(tables, spark).groupBy("advertiser_id", "routed_to").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(LOAD_COLUMN).alias("loads")
+    )
+
+
 @query
 def advertiser_from_url(spark, sf_dir):
     urls = samples.creative_stats(spark, sf_dir).select(F.col("creative_page_url").alias("url"))

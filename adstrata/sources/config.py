@@ -18,6 +18,7 @@ class Environment:
     tracking_table: str
     links_table: str = "video_links"
     timeouts_table: str = "page_timeouts"
+    media_loads_table: str = "media_loads"
     codes_table: str = "verification_codes"
     runs_table: str = "ingest_runs"
     location: str | None = None
@@ -43,6 +44,10 @@ class Environment:
     def timeouts(self) -> TableRef:
         return self.table(self.timeouts_table)
 
+    @property
+    def media_loads(self) -> TableRef:
+        return self.table(self.media_loads_table)
+
     @property
     def codes(self) -> TableRef:
         return self.table(self.codes_table)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -125,3 +126,35 @@ def append(rows: DataFrame, table: TableRef, schema: T.StructType) -> None:
         table.create(rows.sparkSession, schema)
     required = [f.name for f in schema.fields if not f.nullable]
     enforce(rows, required).select(*schema.names).write.insertInto(table.name)
+
+
+def replace_partition(rows: DataFrame, table: TableRef, schema: T.StructType, column: str, value: str) -> None:
+    """Make `rows` all that a partition holds; written again after a failure, it holds them once.
+
+    Only the files of that partition change.
+    """
+    spark = rows.sparkSession
+    wanted = rows.withColumn(column, F.lit(value)).select(*schema.names)
+    # Also files that were written but never became a partition of the catalog.
+    spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({column} = '{value}') PURGE")
+    delete_folder(spark, f"{table.folder(spark)}/{column}={value}")
+    spark.catalog.refreshTable(table.name)
+    wanted.write.insertInto(table.name)
+
+
+def drop_partitions(spark: SparkSession, table: TableRef, column: str, keep: Iterable[str]) -> list[str]:
+    """Remove the partitions with other values than those to keep, with their files; returns their values."""
+    spark.catalog.refreshTable(table.name)
+    held = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table.name}").collect()]
+    gone = sorted(set(held) - set(keep))
+    for value in gone:
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS PARTITION ({column} = '{value}') PURGE")
+        delete_folder(spark, f"{table.folder(spark)}/{column}={value}")
+    spark.catalog.refreshTable(table.name)
+    return gone
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all that is in it, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -12,11 +12,12 @@ from adstrata.operators.media import page_outcomes
 from adstrata.operators.projection import market_records, raw_rows, unusable_records
 from adstrata.plans import codes as code_plans
 from adstrata.plans import ingest, marts, refresh
-from adstrata.plans.media import MediaResult, advertiser_ids_of_links, media_links_job
+from adstrata.plans import media as media_plans
+from adstrata.plans.media import MediaResult, MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.plans.status import IngestStatus, RefreshMode
-from adstrata.schemas import CODE_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
+from adstrata.schemas import CODE_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
 from adstrata.sources.config import Environment, load_environment
-from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, with_partition
+from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import append_once, check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
@@ -376,13 +377,85 @@ def test_media_job(spark, new_table):
         ],
         "Advertiser_ID string, Creative_ID string, Creative_Page_URL string, html string",
     )
-    links, timeouts = new_table("links"), new_table("timeouts")
-    assert media_links_job(spark, pages, links, timeouts, "AR1") == MediaResult(4, 4, 2, 1)
-    assert [r.creative_id for r in links.read(spark).collect()] == ["1"]
-    assert [r.creative_id for r in timeouts.read(spark).collect()] == ["2"]
-    assert media_links_job(spark, pages, links, timeouts) == MediaResult(5, 5, 2, 2)
-    assert links.read(spark).count() == 2 and timeouts.read(spark).count() == 3
-    assert media_links_job(spark, pages, links, timeouts, "AR-none") == MediaResult(0, 0, 0, 0)
+    tables = MediaTables(new_table("links"), new_table("timeouts"), new_table("loads"))
+    assert media_links_job(spark, pages, tables, "AR1") == MediaResult(4, 4, 2, 1)
+    assert [r.creative_id for r in tables.read_links(spark).collect()] == ["1"]
+    assert [r.creative_id for r in tables.read_timeouts(spark).collect()] == ["2"]
+    assert media_links_job(spark, pages, tables) == MediaResult(5, 5, 2, 2)
+    assert tables.read_links(spark).count() == 2 and tables.read_timeouts(spark).count() == 3
+    assert media_links_job(spark, pages, tables, "AR-none") == MediaResult(0, 0, 0, 0)
+
+
+MEDIA_PAGES = [
+    ("AR1", "1", "https://p/1", '<iframe src="https://www.youtube.com/embed/v1">'),
+    ("AR1", "2", "https://p/2", None),
+    ("AR2", "3", "https://p/3", '<iframe src="https://www.youtube.com/embed/v3">'),
+    ("AR2", "4", "https://p/4", None),
+]
+
+
+@pytest.fixture
+def media(spark, new_table):
+    pages = spark.createDataFrame(MEDIA_PAGES, "advertiser_id string, creative_id string, creative_page_url string, html string")
+    return pages, MediaTables(new_table("links"), new_table("timeouts"), new_table("loads"))
+
+
+def seen(spark, tables):
+    return [sorted(r.creative_id for r in read(spark).collect()) for read in (tables.read_links, tables.read_timeouts)]
+
+
+def test_a_media_load_run_again_adds_nothing(spark, media):
+    pages, tables = media
+    first = media_links_job(spark, pages, tables)
+    files = sorted(tables.links.read_anew(spark).inputFiles())
+    assert media_links_job(spark, pages.repartition(3), tables) == first == MediaResult(4, 4, 2, 2)
+    assert seen(spark, tables) == [["1", "3"], ["2", "4"]] and sorted(tables.links.read_anew(spark).inputFiles()) == files
+    # The same pages once more under an id of their own are another load.
+    media_links_job(spark, pages.filter("advertiser_id = 'AR1'"), tables, load_id="again")
+    assert media_links_job(spark, pages, tables, load_id="again") == MediaResult(2, 2, 1, 1)
+    assert seen(spark, tables) == [["1", "1", "3"], ["2", "2", "4"]]
+    with pytest.raises(ValueError, match="load id"):
+        media_links_job(spark, pages, tables, load_id="a/b'")
+
+
+@pytest.mark.parametrize("stops_at", ["timeouts", "commit"])
+def test_a_failure_between_the_writes_shows_neither(spark, media, monkeypatch, stops_at):
+    pages, tables = media
+    media_links_job(spark, pages.filter("advertiser_id = 'AR1'"), tables, load_id="first")
+    with monkeypatch.context() as patched:
+        if stops_at == "timeouts":
+
+            def write(rows, table, *args):
+                if table is tables.timeouts:
+                    raise OSError("disk full")
+                replace_partition(rows, table, *args)
+
+            patched.setattr(media_plans, "replace_partition", write)
+        else:
+
+            def refuse(*_):
+                raise OSError("disk full")
+
+            patched.setattr(media_plans, "append", refuse)
+        with pytest.raises(OSError):
+            media_links_job(spark, pages.filter("advertiser_id = 'AR2'"), tables, load_id="second")
+    assert tables.links.read_anew(spark).count() == 2
+    assert seen(spark, tables) == [["1"], ["2"]]
+    assert media_links_job(spark, pages.filter("advertiser_id = 'AR2'"), tables, load_id="second") == MediaResult(2, 2, 1, 1)
+    assert seen(spark, tables) == [["1", "3"], ["2", "4"]] and tables.links.read_anew(spark).count() == 2
+
+
+def test_what_uncommitted_loads_left_can_be_removed(spark, media):
+    pages, tables = media
+    media_links_job(spark, pages, tables, load_id="whole")
+    rows = tables.read_links(spark).drop(LOAD_COLUMN)
+    replace_partition(rows, tables.links, LOADED_LINK_SCHEMA, LOAD_COLUMN, "lost")
+    # Files whose partition the catalog never got, as a crash may leave them.
+    rows.write.parquet(f"{tables.timeouts.folder(spark)}/{LOAD_COLUMN}=half")
+    replace_partition(rows.limit(1), tables.timeouts, LOADED_LINK_SCHEMA, LOAD_COLUMN, "half")
+    assert tables.timeouts.read_anew(spark).filter("load_id = 'half'").count() == 1
+    assert tables.sweep(spark) == ["half", "lost"] and tables.sweep(spark) == []
+    assert tables.links.read_anew(spark).count() == 2 and seen(spark, tables) == [["1", "3"], ["2", "4"]]
 
 
 def test_outcomes_do_not_carry_the_page(spark):
