@@ -250,6 +250,11 @@ _QUERIES = {
         "select code_id, email, verification_code from codes where email not in (select 'user'||cast(user_id as varchar)||'@example.com' "
         "from events where event_type='error' and ts>=timestamp '2024-01-30 00:00:00')",
     ),
+    "code_forgotten": (
+        ["codes"],
+        "select email, count(*) stored, case when email in (select 'user'||cast(user_id as varchar)||'@example.com' "
+        "from events where event_type='error' and ts>=timestamp '2024-01-30 00:00:00') then 0 else count(*) end n_left from codes group by email",
+    ),
     "required_columns_quarantine": (
         ["creative_stats"],
         "select advertiser_id, creative_id, missing from (select *, concat_ws(',',"

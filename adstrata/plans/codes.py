@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adstrata.operators.codes import delete_codes
 from adstrata.schemas import CODE_SCHEMA
-from adstrata.sources.tables import TableRef, append, move_to
+from adstrata.sources.rewrite import delete_keys, finish_rewrites
+from adstrata.sources.tables import TableRef, append
 
 log = logging.getLogger(__name__)
 
@@ -33,18 +32,16 @@ def store_code(
     return store_codes(spark.createDataFrame([row], "email string, verification_code string, created_at timestamp"), table)
 
 
-def forget_codes(emails: DataFrame, table: TableRef, folder: str) -> TableRef:
-    """Delete the codes of the given addresses.
+def stored_codes(spark: SparkSession, table: TableRef) -> DataFrame:
+    """The stored codes. A delete that stopped half-way is finished first."""
+    finish_rewrites(spark, table)
+    return table.read_anew(spark)
 
-    The rows left are written to a new folder under `folder`, the table is pointed at it, and the files of the
-    old folder are then removed. A query that still reads those fails and has to be run again; nothing else
-    may write to the table meanwhile. Returns the table at its new place.
+
+def forget_codes(emails: DataFrame, table: TableRef) -> int:
+    """Delete the codes of the given addresses; returns how many files were rewritten.
+
+    Only files that hold such a code are written anew; all others stay as they are, under their names. A NULL address
+    deletes nothing. See `delete_keys` for what happens when it stops half-way.
     """
-    spark = emails.sparkSession
-    place = f"{folder.rstrip('/')}/{table.name}-{uuid.uuid4().hex}"
-    stored = table.read_anew(spark)
-    before = table.folder(spark)
-    delete_codes(stored, emails).write.parquet(place)
-    moved = move_to(spark, table, place)
-    spark.createDataFrame([], stored.schema).write.mode("overwrite").parquet(before)
-    return moved
+    return delete_keys(table, emails.select("email"), "email")

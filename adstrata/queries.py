@@ -17,10 +17,11 @@ from adstrata.operators import codes, media, projection, required, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
 from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
+from adstrata.plans.codes import forget_codes, store_codes, stored_codes
 from adstrata.plans.media import MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.samples import MARKET, REFRESH_TIME
 from adstrata.schemas import LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RECORD_FIELDS
-from adstrata.session import staging_path
+from adstrata.session import stage, staging_path
 from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
@@ -406,6 +407,19 @@ def code_delete(spark, sf_dir):
     return left.select("code_id", "email", "verification_code")
 
 
+@query
+def code_forgotten(spark, sf_dir):
+    """The table of codes, stored and read again, before and after the same addresses are deleted from its files."""
+    table = _scratch_table(spark, "codes")
+    known = samples.verification_codes(spark, sf_dir).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    store_codes(known.repartitionByRange("email"), table)
+    before = stored_codes(spark, table).groupBy("email").agg(F.count(F.lit(1)).alias("stored"))
+    before = stage(before, "stored")
+    forget_codes(samples.failed_accounts(spark, sf_dir, CODE_CUTOFF), table)
+    after = stored_codes(spark, table).groupBy("email").agg(F.count(F.lit(1)).alias("n_left"))
+    return before.join(after, "email", "left").select("email", "stored", F.coalesce("n_left", F.lit(0).cast("long")).alias("n_left"))
+
+
 REQUIRED = ["advertiser_id", "creative_id", "advertiser_legal_name", "region_stats"]
 
 

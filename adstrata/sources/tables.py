@@ -58,13 +58,6 @@ class TableRef:
             spark.sql(f"MSCK REPAIR TABLE {self.name}")
 
 
-def move_to(spark: SparkSession, table: TableRef, location: str) -> TableRef:
-    """Point an unpartitioned table at another folder."""
-    spark.sql(f"ALTER TABLE {table.name} SET LOCATION '{location}'")
-    spark.catalog.refreshTable(table.name)
-    return TableRef(table.name, location)
-
-
 def ensure_raw_table(spark: SparkSession, raw: TableRef) -> IngestStatus:
     """Create the raw table, partitioned by day, unless it exists."""
     if raw.exists(spark):

@@ -16,6 +16,7 @@ from adstrata.plans import media as media_plans
 from adstrata.plans.media import MediaResult, MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.plans.status import IngestStatus, RefreshMode
 from adstrata.schemas import CODE_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
+from adstrata.sources import rewrite
 from adstrata.sources.config import Environment, load_environment
 from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import append_once, check_stream
@@ -476,16 +477,93 @@ def test_store_codes(spark, new_table):
     assert table.read(spark).count() == 1
 
 
-def test_forget_codes(spark, new_table, tmp_path):
+def stored_files(spark, table):
+    """Names of the table's files, and the addresses in each, as they are on disk."""
+    rows = spark.read.schema(CODE_SCHEMA).parquet(table.folder(spark)).select("email", "_metadata.file_name").collect()
+    held = {name: set() for name in os.listdir(table.location) if name.endswith(".parquet")}
+    for row in rows:
+        held[row.file_name].add(row.email)
+    return held
+
+
+@pytest.fixture
+def codes_table(spark, new_table):
     table = new_table("codes")
-    for email in ("a@b.c", "a@b.c", "d@e.f"):
-        assert code_plans.store_code(spark, table, email, "1")
-    gone = spark.createDataFrame([("a@b.c",), (None,)], "email string")
-    moved = code_plans.forget_codes(gone, table, str(tmp_path))
-    assert spark.read.schema(CODE_SCHEMA).parquet(table.location).count() == 0
-    assert [r.email for r in moved.read(spark).collect()] == ["d@e.f"]
-    assert code_plans.store_code(spark, moved, "a@b.c", "2")
-    assert moved.read(spark).count() == table.read(spark).count() == 2
+    made = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    for group in ("ab", "cd", "ef", "ca"):
+        rows = [(f"{x}@x.y z%20" if x == "f" else f"{x}@x.y", str(i), made) for x in group for i in range(3)]
+        assert code_plans.store_codes(spark.createDataFrame(rows, CODE_SCHEMA).coalesce(1), table)
+    return table
+
+
+def emails(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "email string")
+
+
+def test_forget_codes(spark, codes_table):
+    before = stored_files(spark, codes_table)
+    assert code_plans.forget_codes(emails(spark, "c@x.y", "c@x.y", None, "unknown"), codes_table) == 2
+    after = stored_files(spark, codes_table)
+    untouched = {name for name, held in before.items() if "c@x.y" not in held}
+    assert len(before) - len(untouched) == 2 and untouched == set(before) & set(after)
+    assert not any("c@x.y" in held for held in after.values())
+    kept = Counter(r.email for r in code_plans.stored_codes(spark, codes_table).collect())
+    assert kept == Counter({"a@x.y": 6, "b@x.y": 3, "d@x.y": 3, "e@x.y": 3, "f@x.y z%20": 3})
+    assert code_plans.forget_codes(emails(spark, "c@x.y"), codes_table) == 0
+    assert stored_files(spark, codes_table) == after
+    assert code_plans.store_code(spark, codes_table, "c@x.y", "2")
+    assert code_plans.stored_codes(spark, codes_table).count() == 19
+    assert not [n for n in os.listdir(codes_table.location) if n.startswith("_rewrite")]
+
+
+def test_forget_all_codes(spark, codes_table):
+    everyone = codes_table.read(spark).select("email")
+    assert code_plans.forget_codes(everyone, codes_table) == 4
+    assert code_plans.stored_codes(spark, codes_table).count() == 0
+    assert code_plans.store_code(spark, codes_table, "a@x.y", "2") and codes_table.read_anew(spark).count() == 1
+
+
+@pytest.mark.parametrize("stops_at", ["rows", "files", "first move", "second removal"])
+def test_a_delete_that_stops_half_way(spark, codes_table, monkeypatch, stops_at):
+    """Before the names are complete nothing has happened; after, the next reader finishes the switch."""
+    gone, calls = emails(spark, "c@x.y", "e@x.y"), Counter()
+
+    def failing(original, name, at):
+        def call(self, *args):
+            calls[name] += 1
+            if calls[name] == at:
+                raise OSError("stopped")
+            return original(self, *args)
+
+        return call
+
+    with monkeypatch.context() as patched:
+        if stops_at in ("rows", "files"):
+            writer = type(spark.range(1).write)
+            original = writer.parquet
+
+            def parquet(self, path, *args, **kwargs):
+                if path.endswith(f"/{stops_at}") and "_rewrite-" in path:
+                    if stops_at == "files":
+                        original(self, path)
+                        os.remove(f"{path.removeprefix('file:')}/_SUCCESS")
+                    raise OSError("stopped")
+                return original(self, path, *args, **kwargs)
+
+            patched.setattr(writer, "parquet", parquet)
+        elif stops_at == "first move":
+            patched.setattr(rewrite.Folder, "move_up", failing(rewrite.Folder.move_up, "move", 1))
+        else:
+            patched.setattr(rewrite.Folder, "remove_file", failing(rewrite.Folder.remove_file, "remove", 2))
+        with pytest.raises(OSError, match="stopped"):
+            code_plans.forget_codes(gone, codes_table)
+    left = code_plans.stored_codes(spark, codes_table)
+    done = stops_at not in ("rows", "files")
+    assert left.count() == (24 - 6 - 3 if done else 24)
+    assert (left.filter("email in ('c@x.y', 'e@x.y')").count() == 0) == done
+    assert not [n for n in os.listdir(codes_table.location) if n.startswith("_rewrite")]
+    assert code_plans.forget_codes(gone, codes_table) == (0 if done else 3)
+    assert code_plans.stored_codes(spark, codes_table).count() == 15
 
 
 def test_staging_of_another_source(spark):
