@@ -174,6 +174,7 @@ _QUERIES = {
   from (select o_orderkey, o_orderdate, strftime(o_orderdate,'%Y-%m-%d') d from orders) o) t""",
     ),
     "ingest_tracked_all": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
+    "ingest_indexed": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "stream_ingest": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "ingest_window_last_shown": (
         ["fresh", "tracking"],

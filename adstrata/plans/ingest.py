@@ -18,6 +18,7 @@ from adstrata.plans.status import IngestStatus
 from adstrata.schemas import PARTITION_COLUMN, RUN_SCHEMA
 from adstrata.session import stage
 from adstrata.sources.tables import TableRef, append, append_raw, check_granularity, ensure_raw_table, with_partition
+from adstrata.sources.version_index import VersionIndex
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +31,8 @@ class Target:
 
     One raw table holds one market. `granularity` is day, month or year; a load with another one than the table's is refused.
     `strict` fails the job on bad days or a repeated market entry; otherwise such rows are left out.
-    `drop_repeats` also removes equal rows within a batch.
+    `drop_repeats` also removes equal rows within a batch. With an `index` of the raw table, loads join that instead of the
+    stored rows.
     """
 
     raw: TableRef
@@ -39,6 +41,7 @@ class Target:
     strict: bool = True
     drop_repeats: bool = False
     runs: TableRef | None = None
+    index: VersionIndex | None = None
 
 
 @dataclass(frozen=True)
@@ -88,6 +91,8 @@ def load_new(
         if gate is not None and not gate.is_open():
             return None
     check_granularity(spark, target.raw, target.granularity)
+    if target.index is not None:
+        return _load_indexed(candidates if prune else stage(candidates, "candidates"), target)
     stored = target.raw.read_anew(spark)
     if prune:
         stored = relevant_history(stored, candidates)
@@ -96,6 +101,18 @@ def load_new(
     return append_raw(new_versions(candidates, stored, also=[PARTITION_COLUMN]), target.raw)
 
 
+def _load_indexed(candidates: DataFrame, target: Target) -> int:
+    """The same by the table's index. What it appends is written out first, since it goes to both tables."""
+    spark, index = candidates.sparkSession, target.index
+    index.ensure(spark)
+    new = stage(index.new_versions(candidates), "new")
+    added = append_raw(new, target.raw)
+    if added:
+        index.add(new)
+        index.note(spark)
+    return added
+
+
 class Gate:
     """Whether a window has any record, found out by the pass that loads it.
 

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import logging
-import re
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +12,10 @@ from adstrata.functions.links import url_segment
 from adstrata.operators.media import counters, links, page_outcomes, pages_to_read, timeouts
 from adstrata.operators.projection import lower_case_columns
 from adstrata.operators.required import enforce
-from adstrata.operators.selection import listed
 from adstrata.schemas import COMMIT_SCHEMA, LINK_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA
 from adstrata.session import stage
-from adstrata.sources.tables import TableRef, append, drop_partitions, replace_partition
+from adstrata.sources.commits import Commits, checked_load_id
+from adstrata.sources.tables import TableRef
 
 log = logging.getLogger(__name__)
 
@@ -32,49 +30,36 @@ class MediaResult:
 
 @dataclass(frozen=True)
 class MediaTables:
-    """The tables of the media job, and the table of its commits, which tells what of the other two counts.
-
-    A load writes its rows under its own id and then one row of commits. Readers keep the rows of committed loads, so they
-    see both tables with a load or both without it. One writer at a time.
-    """
+    """The tables of the media job, and the table of its commits, which tells what of the other two counts."""
 
     links: TableRef
     timeouts: TableRef
     loads: TableRef
 
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.loads, COMMIT_SCHEMA)
+
     def create(self, spark: SparkSession) -> None:
-        for table, schema, partitioned_by in (
-            (self.links, LOADED_LINK_SCHEMA, LOAD_COLUMN),
-            (self.timeouts, LOADED_LINK_SCHEMA, LOAD_COLUMN),
-            (self.loads, COMMIT_SCHEMA, None),
-        ):
+        for table in (self.links, self.timeouts):
             if not table.exists(spark):
-                table.create(spark, schema, partitioned_by)
-
-    def committed(self, table: TableRef, spark: SparkSession) -> DataFrame:
-        """The rows of `links` or `timeouts` that count, by the commits as they are now."""
-        loads = self.loads.read_anew(spark).select(LOAD_COLUMN)
-        return listed(table.read_anew(spark), loads, LOAD_COLUMN)
+                table.create(spark, LOADED_LINK_SCHEMA, LOAD_COLUMN)
+        self.commits.create(spark)
 
     def read_links(self, spark: SparkSession) -> DataFrame:
-        return self.committed(self.links, spark)
+        return self.commits.rows_of(self.links, spark)
 
     def read_timeouts(self, spark: SparkSession) -> DataFrame:
-        return self.committed(self.timeouts, spark)
+        return self.commits.rows_of(self.timeouts, spark)
 
     def result_of(self, spark: SparkSession, load_id: str) -> MediaResult | None:
         """What a load counted; None as long as it is not committed."""
-        rows = self.loads.read_anew(spark).filter(F.col(LOAD_COLUMN) == load_id).limit(1).collect()
-        names = MediaResult.__dataclass_fields__
-        return MediaResult(**{name: rows[0][name] for name in names}) if rows else None
+        row = self.commits.of(spark, load_id)
+        return row and MediaResult(**{name: row[name] for name in MediaResult.__dataclass_fields__})
 
     def sweep(self, spark: SparkSession) -> list[str]:
         """Remove what loads without a commit left behind, and return their ids. No load may be running."""
-        done = {r[0] for r in self.loads.read_anew(spark).select(LOAD_COLUMN).collect()}
-        left: set[str] = set()
-        for table in (self.links, self.timeouts):
-            left |= set(drop_partitions(spark, table, LOAD_COLUMN, keep=done))
-        return sorted(left)
+        return self.commits.sweep(spark, (self.links, self.timeouts))
 
 
 def load_id_of(outcomes: DataFrame) -> str:
@@ -98,10 +83,8 @@ def media_links_job(
     filled from them. A load that is committed already adds nothing and returns what it counted; one that failed half-way is
     written again. Loads are told apart by `load_id`, or else by their outcomes, so the same pages count once.
     """
-    if load_id is not None and not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
-        raise ValueError("a load id has letters, digits, hyphens and underscores")
     tables.create(spark)
-    if load_id is not None and (known := tables.result_of(spark, load_id)) is not None:
+    if load_id is not None and checked_load_id(load_id) and (known := tables.result_of(spark, load_id)) is not None:
         return known
     outcomes = stage(page_outcomes(pages_to_read(lower_case_columns(pages), advertiser_id)), "outcomes")
     load_id = load_id or load_id_of(outcomes)
@@ -111,11 +94,9 @@ def media_links_job(
         return known
     required = [f.name for f in LINK_SCHEMA.fields if not f.nullable]
     for rows, table in ((links(outcomes), tables.links), (timeouts(outcomes), tables.timeouts)):
-        replace_partition(enforce(rows, required), table, LOADED_LINK_SCHEMA, LOAD_COLUMN, load_id)
+        tables.commits.write(enforce(rows, required), table, LOADED_LINK_SCHEMA, load_id)
     counted = counters(outcomes).first()
-    now = datetime.now(timezone.utc)
-    commit = spark.createDataFrame([(load_id, *counted, now)], COMMIT_SCHEMA)
-    append(commit.coalesce(1), tables.loads, COMMIT_SCHEMA)
+    tables.commits.add(spark, load_id, *counted)
     return MediaResult(**counted.asDict())
 
 

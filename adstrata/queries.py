@@ -23,6 +23,7 @@ from adstrata.samples import MARKET, REFRESH_TIME
 from adstrata.schemas import LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import stage, staging_path
 from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, replace_partition, with_partition
+from adstrata.sources.version_index import VersionIndex
 from adstrata.streaming.codes import check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
@@ -266,6 +267,20 @@ def stream_ingest(spark, sf_dir):
     return _raw_output(loaded)
 
 
+@query
+def ingest_indexed(spark, sf_dir):
+    """New versions of all tracked advertisers' creatives, found by the raw table's index, in two loads run twice."""
+    raw = _scratch_table(spark, "raw")
+    target = ingest.Target(raw=raw, market=MARKET, granularity="month", index=VersionIndex(raw, _scratch_table(spark, "digests"), 8))
+    ensure_raw_table(spark, raw)
+    append_raw(samples.raw_history(spark, sf_dir), raw)
+    source, tracking = samples.creative_stats(spark, sf_dir), samples.advertisers_tracking(spark, sf_dir)
+    for _ in range(2):
+        ingest.backfill(spark, source, target, tracking, *WINDOW, gate="same_as_insert")
+        refresh.refresh(spark, "all", source, tracking, target)
+    return _raw_output(raw.read(spark).filter(F.col("metadata_time") > F.lit(samples.HISTORY_TIME)))
+
+
 @query
 def raw_row_count(spark, sf_dir):
     """Rows of the raw table per month partition."""

@@ -54,10 +54,11 @@ LINK_SCHEMA = T.StructType(
 
 # Tables that a load fills together are partitioned by the load that wrote them.
 LOAD_COLUMN = "load_id"
+COMMITTED_AT = "committed_at"
 
 LOADED_LINK_SCHEMA = T.StructType([*LINK_SCHEMA.fields, T.StructField(LOAD_COLUMN, T.StringType(), False)])
 
-# One row commits a load to all of its tables. The counters are those of the load.
+# One row commits a media load to both of its tables. The counters are those of the load.
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField(LOAD_COLUMN, T.StringType(), False),
@@ -65,7 +66,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("total_urls_processed", T.LongType(), False),
         T.StructField("successful_scrapes", T.LongType(), False),
         T.StructField("timeouts_inserted", T.LongType(), False),
-        T.StructField("committed_at", T.TimestampType(), False),
+        T.StructField(COMMITTED_AT, T.TimestampType(), False),
     ]
 )
 

@@ -12,11 +12,10 @@ from adstrata.operators.media import page_outcomes
 from adstrata.operators.projection import market_records, raw_rows, unusable_records
 from adstrata.plans import codes as code_plans
 from adstrata.plans import ingest, marts, refresh
-from adstrata.plans import media as media_plans
 from adstrata.plans.media import MediaResult, MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.plans.status import IngestStatus, RefreshMode
 from adstrata.schemas import CODE_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
-from adstrata.sources import rewrite
+from adstrata.sources import commits, rewrite
 from adstrata.sources.config import Environment, load_environment
 from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import append_once, check_stream
@@ -431,13 +430,13 @@ def test_a_failure_between_the_writes_shows_neither(spark, media, monkeypatch, s
                     raise OSError("disk full")
                 replace_partition(rows, table, *args)
 
-            patched.setattr(media_plans, "replace_partition", write)
+            patched.setattr(commits, "replace_partition", write)
         else:
 
             def refuse(*_):
                 raise OSError("disk full")
 
-            patched.setattr(media_plans, "append", refuse)
+            patched.setattr(commits, "append", refuse)
         with pytest.raises(OSError):
             media_links_job(spark, pages.filter("advertiser_id = 'AR2'"), tables, load_id="second")
     assert tables.links.read_anew(spark).count() == 2
