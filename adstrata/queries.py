@@ -19,6 +19,7 @@ from adstrata.operators.selection import between_days, listed, targeted
 from adstrata.plans import ingest, marts, refresh
 from adstrata.plans.codes import forget_codes, store_codes, stored_codes
 from adstrata.plans.media import MediaTables, advertiser_ids_of_links, media_links_job
+from adstrata.plans.models import ModelTables, extend_models
 from adstrata.samples import MARKET, REFRESH_TIME
 from adstrata.schemas import LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import stage, staging_path
@@ -494,6 +495,38 @@ def version_history(spark, sf_dir):
     )
 
 
+def _extended(spark: SparkSession, sf_dir: str) -> ModelTables:
+    """History and mart of the raw table, built load by load; the last one is offered twice."""
+    models = ModelTables(*(_scratch_table(spark, label) for label in ("history", "state", "parts", "loads")))
+    schema = marts.record_schema(samples.creative_stats(spark, sf_dir).schema)
+    raw = samples.raw_versions(spark, sf_dir)
+    for load_id, loaded in (("first", samples.HISTORY_TIME), ("second", samples.REFRESH_TIME), ("second", samples.REFRESH_TIME)):
+        extend_models(spark, models, raw.filter(F.col("metadata_time") == F.lit(loaded)), load_id, schema)
+    return models
+
+
+@query
+def version_history_extended(spark, sf_dir):
+    """The same, each load continuing the numbers of the one before."""
+    return _extended(spark, sf_dir).read_history(spark).select(
+        "advertiser_id",
+        "creative_id",
+        _day_text("metadata_time"),
+        "version_no",
+        F.col("changed").cast("int").alias("changed"),
+        "copies",
+        "digest",
+    )
+
+
+@query
+def mart_creatives_merged(spark, sf_dir):
+    """The mart added up from the parts of each load."""
+    mart = _extended(spark, sf_dir).read_mart(spark)
+    days = {c: F.col(c).cast("string") for c in ("first_shown_date", "last_shown_date")}
+    return mart.withColumns(days)
+
+
 @query
 def mart_creatives(spark, sf_dir):
     """Creatives, versions and days shown per advertiser and format."""

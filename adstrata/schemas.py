@@ -70,6 +70,57 @@ COMMIT_SCHEMA = T.StructType(
     ]
 )
 
+_CREATIVE_FIELDS = [T.StructField("advertiser_id", T.StringType(), False), T.StructField("creative_id", T.StringType(), False)]
+_LOAD_FIELD = T.StructField(LOAD_COLUMN, T.StringType(), False)
+
+# The numbered versions; each load adds those it brought.
+HISTORY_SCHEMA = T.StructType(
+    [
+        *_CREATIVE_FIELDS,
+        T.StructField("metadata_time", T.TimestampType(), False),
+        T.StructField("data_modified", T.TimestampType(), False),
+        T.StructField("digest", T.StringType(), False),
+        T.StructField("copies", T.LongType(), False),
+        T.StructField("version_no", T.LongType(), False),
+        T.StructField("changed", T.BooleanType(), False),
+        _LOAD_FIELD,
+    ]
+)
+
+# Where each creative's history stands after a load, and the creative's own number.
+STATE_SCHEMA = T.StructType(
+    [
+        *_CREATIVE_FIELDS,
+        T.StructField("last_no", T.LongType(), False),
+        T.StructField("last_digest", T.StringType(), False),
+        T.StructField("number", T.LongType(), False),
+        _LOAD_FIELD,
+    ]
+)
+
+# What a load adds to the mart: sums in rows without a bucket, and its creatives' numbers as bitmaps in rows with one.
+MART_PART_SCHEMA = T.StructType(
+    [
+        T.StructField("advertiser_id", T.StringType(), True),
+        T.StructField("ad_format_type", T.StringType(), True),
+        T.StructField("bucket", T.LongType(), True),
+        T.StructField("bits", T.BinaryType(), True),
+        T.StructField("versions", T.LongType(), True),
+        T.StructField("first_shown_date", T.DateType(), True),
+        T.StructField("last_shown_date", T.DateType(), True),
+        _LOAD_FIELD,
+    ]
+)
+
+MODEL_COMMIT_SCHEMA = T.StructType(
+    [
+        _LOAD_FIELD,
+        T.StructField("newest_time", T.TimestampType(), False),
+        T.StructField("last_number", T.LongType(), False),
+        T.StructField(COMMITTED_AT, T.TimestampType(), False),
+    ]
+)
+
 CODE_SCHEMA = T.StructType(
     [
         T.StructField("email", T.StringType(), False),
