@@ -16,6 +16,14 @@ SOURCE_PATTERN = (
     r"(?i)^(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|\s(?!src\s*+=)|[^>\s])*+"
     r"\ssrc\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>\"']++[^\s>]*+)"
 )
+SRCDOC_PATTERN = SOURCE_PATTERN.replace("src\\s", "srcdoc\\s")
+# Comments, and elements whose text is not markup.
+HIDDEN_START = r"(?i)<(?:!--|(?:script|style|textarea|title|noscript)[\s/>])"
+HIDDEN_PATTERN = (
+    r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|noscript)(?=[\s/>])[^>]*+(?:>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\z)|\z)|\z)"
+)
+# What addresses and pages in attributes are written with.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 SCHEME_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*:)//"
 
 
@@ -30,30 +38,57 @@ def watch_url(embed_url: Column) -> Column:
     return F.concat(F.lit(WATCH_PREFIX), video_id)
 
 
-def without_comments(html: Column) -> Column:
-    """The HTML without comments; one that is never closed runs to the end, as in browsers."""
-    parts = F.split(html, "-->")
-    return F.array_join(F.transform(parts, lambda part: F.substring_index(part, "<!--", 1)), "")
+def markup(html: Column) -> Column:
+    """The HTML without comments and without the text of elements that hold no markup, in document order.
+
+    What is never closed runs to the end, as in browsers. Each of the pattern's parts goes on to its end or the page's, so that
+    one pass does, whatever the page holds.
+    """
+    return F.when(html.rlike(HIDDEN_START), F.regexp_replace(html, HIDDEN_PATTERN, "")).otherwise(html)
+
+
+def _unescaped(text: Column) -> Column:
+    """The text of an attribute; `&amp;` comes last, so that nothing is unescaped twice."""
+    for written, meant in ENTITIES:
+        text = F.replace(text, F.lit(written), F.lit(meant))
+    return text
+
+
+def _attribute(tag: Column, pattern: str) -> Column:
+    """The value that a pattern finds in a tag, without its quotes; an empty text if there is none."""
+    return F.regexp_replace(F.regexp_extract(tag, pattern, 1), r"(?s)^([\"'])(.*)\1$", "$2")
 
 
-def frame_sources(html: Column) -> Column:
-    """The addresses of a page's iframes in order.
+def _frames(html: Column, host: str | None) -> Column:
+    """The iframes of a page in order, each with what follows it up to the next; with a host only those that mention it.
 
     The page is cut at its iframes rather than searched by one long pattern, so that the time stays in
     proportion to its length whatever it holds.
     """
+    kept = lambda part: F.lit(True) if host is None else mentions(part, host)
+    return F.filter(F.split(markup(html), FRAME_START), lambda part, position: (position > 0) & kept(part))
+
+
+def _source(frame: Column) -> Column:
+    return _unescaped(_attribute(frame, SOURCE_PATTERN))
+
+
+def frame_sources(html: Column, host: str | None = None) -> Column:
+    """The addresses of a page's iframes in order. An iframe with a page of its own (`srcdoc`) stands for the iframes in it.
+
+    With a host, iframes are left out that don't mention it.
+    """
 
-    def source(part: Column, position: Column) -> Column:
-        value = F.regexp_extract(part, SOURCE_PATTERN, 1)
-        bare = F.regexp_replace(value, r"(?s)^([\"'])(.*)\1$", "$2")
-        return F.when(position > 0, F.replace(bare, F.lit("&amp;"), F.lit("&")))
+    def of_frame(frame: Column) -> Column:
+        inner = F.transform(_frames(_unescaped(_attribute(frame, SRCDOC_PATTERN)), host), _source)
+        return F.when(frame.rlike(SRCDOC_PATTERN), inner).otherwise(F.array(_source(frame)))
 
-    return F.transform(F.split(without_comments(html), FRAME_START), source)
+    return F.flatten(F.transform(_frames(html, host), of_frame))
 
 
 def video_frame(page_url: Column, html: Column, host: str = VIDEO_HOST) -> Column:
     """The first frame of a page that comes from the host: the page itself, then iframes in order."""
-    framed = F.get(F.filter(frame_sources(html), lambda address: mentions(address, host)), F.lit(0))
+    framed = F.get(F.filter(frame_sources(html, host), lambda address: mentions(address, host)), F.lit(0))
     # An address without a scheme has that of its page.
     scheme = F.regexp_extract(page_url, SCHEME_PATTERN, 1)
     framed = F.when(F.startswith(framed, F.lit("//")), F.concat(F.coalesce(scheme, F.lit("")), framed)).otherwise(framed)

@@ -174,6 +174,17 @@ _QUERIES = {
   from (select o_orderkey, o_orderdate, strftime(o_orderdate,'%Y-%m-%d') d from orders) o) t""",
     ),
     "ingest_tracked_all": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
+    "ingest_by_environment": (["market", "tracking"], f"select {_RAW} from market where {_IN_TRACKING} and last_day {_IN_1998}"),
+    "refresh_status": (
+        ["market", "tracking"],
+        f"""select 'refresh_all' job, 'DATA_INSERTED' status, count(*) rows_added from market where {_IN_TRACKING}
+union all select unnest(['refresh_all','refresh_targeted','table','table','table']),
+  unnest(['NO_NEW_UPDATES','NO_NEW_UPDATES','0-TABLE_CREATED','1-TABLE_EXISTS','2-TABLE_CREATION_FAILED']), 0""",
+    ),
+    "raw_layout": (
+        ["versions"],
+        "select cast(cast(date_trunc('month', first_day) as date) as varchar) as month, count(*) row_count, cast(0 as bigint) misplaced from versions group by all",
+    ),
     "ingest_indexed": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "stream_ingest": (["fresh", "tracking"], f"select {_RAW} from fresh where {_IN_TRACKING}"),
     "ingest_window_last_shown": (
@@ -215,6 +226,14 @@ _QUERIES = {
         ["outcomes"],
         """select creative_id, case when outcome='video' then youtube_watch_url end youtube_watch_url, case when outcome='video' then 'links' else 'timeouts' end routed_to,
   (select count(*) from outcomes where outcome in ('video','convert_failed')) found from outcomes where outcome in ('video','timeout')""",
+    ),
+    "media_of_advertiser": (["outcomes"], "select * from outcomes where advertiser_id='AR00000000000000000007'"),
+    "media_frames": (
+        [],
+        """select 'CR'||lpad(cast(page_id as varchar),20,'0') creative_id, u||case when page_id%12=3 then '?a=1&b=2' else '' end youtube_video_url,
+  case when u is not null then 'https://www.youtube.com/watch?v=f'||cast(page_id as varchar) end youtube_watch_url,
+  case when page_id%12=11 then 'skipped' when u is not null then 'video' else 'no_video' end outcome
+from (select page_id, case when page_id%12 in (0,1,2,3,4,7,8) then 'https://www.youtube.com/embed/f'||cast(page_id as varchar) end u from pages) p""",
     ),
     "media_loads": (
         ["outcomes"],
@@ -245,6 +264,21 @@ _QUERIES = {
         "(partition by email order by created_at desc, code_id desc) rn from codes) c where rn=1",
     ),
     "code_check": (["codes", "attempts"], _CODE_CHECK),
+    "code_check_partial": (
+        ["codes", "attempts"],
+        """, partial_ as (select attempt_id, attempted_at, case attempt_id%9 when 1 then '' when 2 then null else email end email,
+  case attempt_id%9 when 3 then '' when 4 then null else verification_code end verification_code from attempts)
+select attempt_id, email, case when coalesce(email,'')='' or coalesce(verification_code,'')='' then 'missing_input' else status end status from ("""
+        + _CODE_CHECK.replace("from attempts a", "from partial_ a").replace("email, case", "email, verification_code, case")
+        + ") checked",
+    ),
+    "code_lookup": (["codes"], "select code_id, email, verification_code from codes where email='user7@example.com'"),
+    "account_lookup": ([], "select c_custkey account_id, c_name as name, 'user7@example.com' email from customer where c_custkey%50=7"),
+    "code_stored": (
+        ["codes"],
+        """select email, count(*) n, count(*) filter (verification_code='0000') late, 'True,True,False' stored from (
+  select email, verification_code from codes union all select 'user7@example.com', '0000') c group by email""",
+    ),
     "stream_code_check": (["codes", "attempts"], _CODE_CHECK),
     "code_delete": (
         ["codes"],
@@ -277,6 +311,18 @@ _QUERIES = {
   cast(coalesce(digest <> lag(digest) over w, false) as int) changed, copies, digest from (
   select advertiser_id, creative_id, loaded, first_day, sha256(raw_data) digest, count(*) copies from versions group by all) v
 window w as (partition by advertiser_id, creative_id order by loaded, digest, first_day)""",
+    ),
+    "published_models": (
+        ["staged"],
+        "select advertiser_id, ad_format_type, count(*) versions, count(*) staged from staged group by advertiser_id, ad_format_type",
+    ),
+    "stg_second_source": (
+        [],
+        """select case when bad or conv_id%5=0 then null else cast(conv_id as bigint) end conv_id, case when bad or turn%3=2 then null else cast(turn as int) end turn,
+  case when not bad and turn%2=0 then role end as role, case when not bad and conv_id%5=0 then '"c'||cast(conv_id as varchar)||'"' end other_id,
+  case when not bad and turn%3=2 then cast(turn as varchar)||'.5' end other_turn, case when not bad and turn%2<>0 then '"'||role||'"' end speaker,
+  case when bad then 'no record' end unparsed
+from (select *, conv_id%11=0 and turn=0 bad from conversations) c""",
     ),
     "mart_creatives": (
         ["staged"],

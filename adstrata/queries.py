@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import os
+import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adstrata import samples
 from adstrata.functions.dates import is_day_text, look_back, parse_day, utc_day
@@ -15,15 +19,16 @@ from adstrata.functions.regions import shown_in
 from adstrata.functions.text import is_email
 from adstrata.operators import codes, media, projection, required, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows
-from adstrata.operators.selection import between_days, listed, targeted
+from adstrata.operators.selection import between_days, listed, lookup, targeted
 from adstrata.plans import ingest, marts, refresh
-from adstrata.plans.codes import forget_codes, store_codes, stored_codes
+from adstrata.plans.codes import forget_codes, store_code, store_codes, stored_codes
 from adstrata.plans.media import MediaTables, advertiser_ids_of_links, media_links_job
 from adstrata.plans.models import ModelTables, extend_models
 from adstrata.samples import MARKET, REFRESH_TIME
 from adstrata.schemas import LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RECORD_FIELDS
 from adstrata.session import stage, staging_path
-from adstrata.sources.tables import TableRef, append_raw, ensure_raw_table, replace_partition, with_partition
+from adstrata.sources.config import load_environment
+from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.sources.version_index import VersionIndex
 from adstrata.streaming.codes import check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
@@ -247,10 +252,59 @@ def run_status(spark, sf_dir):
     return target.runs.read(spark).select("job", "status", "rows_added")
 
 
+@query
+def refresh_status(spark, sf_dir):
+    """What making a table and refreshing it reports: made, there already, impossible; new updates, none, none again."""
+    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, runs=_scratch_table(spark, "runs"))
+    made = [ensure_raw_table(spark, target.raw), ensure_raw_table(spark, target.raw)]
+    # A file stands where the folder should be.
+    made.append(ensure_raw_table(spark, TableRef("unmade", f"{sf_dir}/region.parquet/raw")))
+    source, tracking = samples.creative_stats(spark, sf_dir), samples.advertisers_tracking(spark, sf_dir)
+    refresh.refresh(spark, "all", source, tracking, target)
+    refresh.refresh(spark, "all", source, tracking, target)
+    tracked = listed(source, tracking)
+    refresh.refresh(spark, "specific", tracked, tracking, target, creative_ids=samples.priority_creatives(spark, sf_dir, PRIORITY))
+    tables = spark.createDataFrame([("table", f"{n}-{status.name}", 0) for n, status in enumerate(made)], "job string, status string, rows_added long")
+    return target.runs.read(spark).select("job", "status", "rows_added").unionByName(tables)
+
+
+@query
+def ingest_by_environment(spark, sf_dir):
+    """A back-fill into the tables that an environment names, for the advertisers of its tracking table."""
+    database = f"env_{uuid.uuid4().hex}"
+    settings = {"database": database, "raw_table": "creatives", "tracking_table": "tracked", "location": staging_path(spark, "env")}
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, "environments.json")
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump({"dev": {"database": "unused", "raw_table": "x", "tracking_table": "y"}, "trial": settings}, file)
+        env = load_environment(path, "trial")
+    append(samples.advertisers_tracking(spark, sf_dir), env.tracking, T.StructType([T.StructField("advertiser_id", T.StringType(), False)]))
+    target = ingest.Target(raw=env.raw, market=MARKET, runs=env.runs)
+    ingest.backfill(spark, samples.creative_stats(spark, sf_dir), target, env.tracking.read(spark), *WINDOW)
+    return _raw_output(spark.table(f"{database}.creatives"))
+
+
+@query
+def raw_layout(spark, sf_dir):
+    """Rows of the raw table by month, and those that come before a smaller advertiser or creative in their file."""
+    raw = _scratch_table(spark, "raw")
+    ensure_raw_table(spark, raw)
+    append_raw(samples.raw_versions(spark, sf_dir), raw)
+    place = Window.partitionBy("file").orderBy("at")
+    key = F.struct("advertiser_id", "creative_id")
+    rows = raw.read(spark).select(
+        PARTITION_COLUMN, key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    rows = rows.withColumn("misplaced", (F.lag("key").over(place) > F.col("key")).cast("long"))
+    return rows.groupBy(F.col(PARTITION_COLUMN).cast("string").alias("month")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("misplaced"), F.lit(0).cast("long")).alias("misplaced")
+    )
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """The refresh of all tracked advertisers, fed file by file from a stream."""
-    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, granularity="year")
+    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET)
     ensure_raw_table(spark, target.raw)
     append_raw(with_partition(samples.raw_history(spark, sf_dir), target.granularity), target.raw)
     source = samples.creative_stats(spark, sf_dir)
@@ -306,6 +360,20 @@ def media_links(spark, sf_dir):
     return media.links(_outcomes(spark, sf_dir))
 
 
+@query
+def media_of_advertiser(spark, sf_dir):
+    """The outcomes of one advertiser's pages."""
+    pages = media.pages_to_read(samples.creative_pages(spark, sf_dir), "AR00000000000000000007")
+    return media.page_outcomes(pages)
+
+
+@query
+def media_frames(spark, sf_dir):
+    """Outcomes of pages that write a frame in many ways, hide one, or have an empty address."""
+    outcomes = media.page_outcomes(media.pages_to_read(samples.framed_pages(spark, sf_dir)))
+    return outcomes.select("creative_id", "youtube_video_url", "youtube_watch_url", "outcome")
+
+
 @query
 def media_timeouts(spark, sf_dir):
     return media.timeouts(_outcomes(spark, sf_dir))
@@ -401,6 +469,39 @@ def code_check(spark, sf_dir):
     return checked.select("attempt_id", "email", "status")
 
 
+@query
+def code_check_partial(spark, sf_dir):
+    """The same for attempts of which some lack the address or the code."""
+    checked = codes.check_codes(samples.partial_attempts(spark, sf_dir), samples.verification_codes(spark, sf_dir), "code_id")
+    return checked.select("attempt_id", "email", "status")
+
+
+ASKED_ADDRESS = "user7@example.com"
+
+
+@query
+def code_lookup(spark, sf_dir):
+    """All codes of one address."""
+    return lookup(samples.verification_codes(spark, sf_dir), "email", ASKED_ADDRESS).select("code_id", "email", "verification_code")
+
+
+@query
+def account_lookup(spark, sf_dir):
+    """The accounts of one address."""
+    return lookup(samples.accounts(spark, sf_dir), "email", ASKED_ADDRESS)
+
+
+@query
+def code_stored(spark, sf_dir):
+    """The table of codes after many were stored, then one, and then some that are refused whole because one has no address."""
+    table = _scratch_table(spark, "codes")
+    known = samples.verification_codes(spark, sf_dir).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    done = [store_codes(known, table), store_code(spark, table, ASKED_ADDRESS, "0000", samples.REFRESH_TIME)]
+    done.append(store_codes(known.withColumn("email", F.when(F.col("code_id") % 2 == 0, F.col("email"))), table))
+    counted = table.read_anew(spark).groupBy("email").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("verification_code") == "0000").alias("late"))
+    return counted.withColumn("stored", F.lit(",".join(map(str, done))))
+
+
 @query
 def stream_code_check(spark, sf_dir):
     """The same check of attempts that arrive as a stream of files."""
@@ -495,6 +596,54 @@ def version_history(spark, sf_dir):
     )
 
 
+@query
+def published_models(spark, sf_dir):
+    """The staging view and the mart's table, published and read by name; the mart replaces one published before."""
+    name = uuid.uuid4().hex
+    raw, mart = samples.raw_versions(spark, sf_dir), _scratch_table(spark, "mart")
+    schema = marts.record_schema(samples.creative_stats(spark, sf_dir).schema)
+    marts.publish_staging(raw, schema, f"stg_{name}")
+    whole = marts.creatives_mart(spark.table(f"stg_{name}"))
+    for part in (whole.limit(1), whole):
+        marts.publish_mart(part, mart)
+    return spark.sql(
+        f"""select m.advertiser_id, m.ad_format_type, m.versions, s.n as staged
+        from {mart.name} m join (select advertiser_id, ad_format_type, count(*) n from stg_{name} group by all) s
+        on m.advertiser_id <=> s.advertiser_id and m.ad_format_type <=> s.ad_format_type"""
+    )
+
+
+@query
+def stg_second_source(spark, sf_dir):
+    """Records of a source without a given schema, some of whose fields have other types, staged as columns without loss."""
+    turn = F.col("turn")
+    record = F.concat(
+        F.lit('{"conv_id":'),
+        F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit('"c'), F.col("conv_id"), F.lit('"'))).otherwise(F.col("conv_id").cast("string")),
+        F.lit(',"turn":'),
+        F.when(turn % 3 == 2, F.concat(turn, F.lit(".5"))).otherwise(turn.cast("string")),
+        F.lit(',"'),
+        F.when(turn % 2 == 0, "role").otherwise("speaker"),
+        F.lit('":"'),
+        F.col("role"),
+        F.lit('"}'),
+    )
+    text = F.when((F.col("conv_id") % 11 == 0) & (turn == 0), F.lit("no record")).otherwise(record)
+    raw = samples.table(spark, sf_dir, "conversations").select(
+        F.lit(samples.HISTORY_TIME).alias("data_modified"), F.lit(samples.REFRESH_TIME).alias("metadata_time"), text.alias("raw_data")
+    )
+    staged = marts.variant_staging(raw, {"conv_id": "bigint", "turn": "int", "role": "string"})
+    return staged.select(
+        "conv_id",
+        "turn",
+        "role",
+        F.col("misfits")["conv_id"].alias("other_id"),
+        F.col("misfits")["turn"].alias("other_turn"),
+        F.col("others")["speaker"].alias("speaker"),
+        "unparsed",
+    )
+
+
 def _extended(spark: SparkSession, sf_dir: str) -> ModelTables:
     """History and mart of the raw table, built load by load; the last one is offered twice."""
     models = ModelTables(*(_scratch_table(spark, label) for label in ("history", "state", "parts", "loads")))

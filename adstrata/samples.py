@@ -173,6 +173,38 @@ def creative_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Cases of `framed_pages`.
+FRAME_FORMS = 12
+
+
+def framed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages with a video's frame written in as many ways as pages do, shown or hidden, and pages with an empty address."""
+    number, case = F.col("page_id").cast("string"), F.col("page_id") % FRAME_FORMS
+    to = F.concat(F.lit("https://www.youtube.com/embed/f"), number)
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    forms = [
+        text('<iframe src="', to, '"></iframe>'),
+        text("<IFRAME width=1 SRC='", to, "'></IFRAME>"),
+        text("<iframe src=", to, " height=2></iframe>"),
+        text('<iframe title="a > b src=x" src = "', to, '?a=1&amp;b=2"></iframe>'),
+        text('<iframe src="//www.youtube.com/embed/f', number, '"></iframe>'),
+        text('<!-- <iframe src="', to, '"></iframe> -->'),
+        text('<script>let a = "<iframe src=', to, '></iframe>"</script><style><!--</style><iframe src="/none"></iframe>'),
+        text("<textarea><iframe src='https://www.youtube.com/embed/hidden'></iframe></TEXTAREA ><iframe src='", to, "'></iframe>"),
+        text('<iframe srcdoc="&lt;p&gt;&lt;iframe src=&quot;', to, '&quot;&gt;&lt;/iframe&gt;" src="/none"></iframe>'),
+        text('<iframe data-src="', to, '" src="https://player.example.com/x"></iframe>'),
+        text('<iframe src="https://player.example.com/x"></iframe> <script>'),
+    ]
+    html = F.coalesce(*[F.when(case == i, F.concat(F.lit("<p>x</p>"), form)) for i, form in enumerate(forms)], F.lit("<p></p>"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        _padded("AR", F.col("page_id") % 20).alias("advertiser_id"),
+        _padded("CR", "page_id").alias("creative_id"),
+        F.when(case == FRAME_FORMS - 1, "").otherwise(text("https://ads.example.com/", number)).alias("creative_page_url"),
+        html.alias("html"),
+    )
+
+
 def _signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
 
@@ -197,6 +229,24 @@ def verification_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partial_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of which some lack the address or the code, by being NULL or empty."""
+    case = F.col("attempt_id") % 9
+    return verification_attempts(spark, sf_dir).withColumns(
+        {
+            "email": F.when(case == 1, "").when(case != 2, F.col("email")),
+            "verification_code": F.when(case == 3, "").when(case != 4, F.col("verification_code")),
+        }
+    )
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with an address each; some share one."""
+    customers = table(spark, sf_dir, "customer")
+    address = F.concat(F.lit("user"), (F.col("c_custkey") % 50).cast("string"), F.lit("@example.com"))
+    return customers.select(F.col("c_custkey").alias("account_id"), F.col("c_name").alias("name"), address.alias("email"))
+
+
 def verification_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     account = F.when(event % 11 == 0, "ghost").otherwise("user")

@@ -214,3 +214,47 @@ def test_expiry_boundary(values):
     made = datetime(2024, 1, 1, tzinfo=timezone.utc)
     rows = [(made, made.replace(minute=10)), (made, made.replace(minute=10, microsecond=1))]
     assert values(expired(F.col("c"), F.col("n")), "c timestamp, n timestamp", rows) == [False, True]
+
+
+V = "https://www.youtube.com/embed/v"
+
+
+@pytest.mark.parametrize(
+    "html, found",
+    [
+        (f'<script>"<iframe src={V}>"</script>', None),
+        (f'<script>"<!--"</script><iframe src="{V}">', V),
+        (f'<!-- <script> --><iframe src="{V}">', V),
+        (f'<style>a<iframe src="{V}"></style >', None),
+        (f'<STYLE><iframe src="/x"></sTyle><iframe src="{V}">', V),
+        (f'<textarea><iframe src="{V}"></textareas></textarea>', None),
+        (f'<script><style></script><iframe src="{V}">', V),
+        (f'<script src="x"/><iframe src="{V}">', None),
+        (f'<scripts><iframe src="{V}">', V),
+        (f'<script><iframe src="{V}">', None),
+        (f'<iframe src="/a"></iframe><script x<iframe src="{V}">', None),
+        (f"<iframe srcdoc='<p>' src='{V}'>", None),
+        (f'<iframe srcdoc="&lt;iframe src=/a&gt;&lt;iframe src={V}&gt;"></iframe>', V),
+        (f'<iframe srcdoc="&lt;script&gt;&lt;iframe src={V}&gt;"></iframe>', None),
+        (f'<iframe srcdoc="&amp;lt;iframe src={V}&amp;gt;"></iframe>', None),
+        (f'<iframe srcdoc="&lt;p&gt;"></iframe><iframe src="{V}">', V),
+        ("<iframe src='https://www.youtube.com/embed/v?a=1&amp;lt;'>", f"{V}?a=1&lt;"),
+    ],
+)
+def test_frames_in_and_beside_text_that_is_no_markup(values, html, found):
+    frame = video_frame(F.lit("https://p"), F.col("html"))
+    assert values(frame, "html string", [(html,)]) == [found]
+
+
+@pytest.mark.parametrize("piece", ["<script", "<script>", "<!--", "</script", "<iframe srcdoc=\"", "<iframe ", "<title><style>", "<script></script"])
+def test_hidden_text_is_passed_in_linear_time(values, piece):
+    """Ten times the text may take some thirty times as long, where a hundred would be quadratic."""
+    import time
+
+    frame = video_frame(F.lit("https://p"), F.col("html"))
+    taken = []
+    for n in (20_000, 200_000):
+        start = time.perf_counter()
+        values(frame, "html string", [(piece * n + "youtube.com",)])
+        taken.append(time.perf_counter() - start)
+    assert taken[1] < 30 * max(taken[0], 0.1)

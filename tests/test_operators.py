@@ -11,6 +11,7 @@ from adstrata.operators import codes, counts, media, required, skew, versions
 from adstrata.operators.projection import lower_case_columns, market_records, raw_rows, unusable_records
 from adstrata.operators.pruning import relevant_history
 from adstrata.operators.selection import between_days, id_list, in_market, listed, lookup, not_listed, targeted
+from adstrata.plans import marts
 from adstrata.schemas import PARTITION_COLUMN, RAW_COLUMNS
 from adstrata.sources.tables import with_partition
 
@@ -471,3 +472,26 @@ def test_latest_and_deleted_codes(spark):
     )
     gone = spark.createDataFrame([("a@b.c",), ("a@b.c",), (None,), ("z@z.z",)], "email string")
     assert sorted(r.code_id for r in codes.delete_codes(made, gone).collect()) == [3, 4]
+
+
+def test_variant_staging_loses_nothing(spark):
+    texts = ['{"a":1,"b":"x","c":[1,2]}', '{"a":"no","b":null,"d":{"e":1}}', '{"a":2.5,"b":3,"c":[1,"2"]}', '{"a":99999999999999999999,"x":1.50}', "[1]", "{", "", "null", "{}", None]
+    rows = spark.createDataFrame([(t, n) for n, t in enumerate(texts)], "raw_data string, n int")
+    raw = rows.select(F.timestamp_seconds("n").alias("data_modified"), F.timestamp_seconds("n").alias("metadata_time"), "raw_data")
+    staged = marts.variant_staging(raw, {"a": "bigint", "b": "string", "c": "array<int>"}).orderBy("data_modified").drop("data_modified", "metadata_time")
+    got = [tuple(r) for r in staged.collect()]
+    assert got == [
+        (1, "x", [1, 2], {}, {}, None),
+        (None, None, None, {"a": '"no"'}, {"d": '{"e":1}'}, None),
+        (None, None, None, {"a": "2.5", "b": "3", "c": '[1,"2"]'}, {}, None),
+        (None, None, None, {"a": "99999999999999999999"}, {"x": "1.5"}, None),
+        (None, None, None, {}, None, "[1]"),
+        (None, None, None, {}, None, "{"),
+        (None, None, None, {}, None, ""),
+        (None, None, None, {}, None, "null"),
+        (None, None, None, {}, {}, None),
+        (None, None, None, {}, None, None),
+    ]
+    assert marts.record_shape(raw.limit(3)) == "OBJECT<a: VARIANT, b: VARIANT, c: ARRAY<VARIANT>, d: OBJECT<e: BIGINT>>"
+    numbers = marts.variant_staging(raw.filter("raw_data like '{\"a\"%'"), {"a": "double"})
+    assert sorted(r.a for r in numbers.collect() if r.a is not None) == [1.0, 2.5, 1e20]

@@ -57,7 +57,8 @@ def plan(df) -> str:
 # The others read what their jobs wrote.
 JOBS = {
     "run_status", "stream_ingest", "media_routed", "media_loads", "stream_code_check", "code_forgotten", "ingest_indexed",
-    "version_history_extended", "mart_creatives_merged",
+    "version_history_extended", "mart_creatives_merged", "refresh_status", "ingest_by_environment", "raw_layout", "code_stored",
+    "published_models",
 }
 LAZY = sorted(set(SQL) - JOBS)
 
