@@ -75,6 +75,11 @@ def _log_frequencies(counted: pd.DataFrame, languages: list[str]) -> tuple[list[
     return list(grams), table
 
 
+def _limit(share: float) -> int:
+    """Of hashes of 62 bits, those below this are so large a share, however small it is."""
+    return int(share * 2**62)
+
+
 def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
     """Fit a model on rows whose `text` and `label` are not null; other rows and columns are unused.
 
@@ -86,8 +91,8 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Langu
         return LanguageModel([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
     rows = sum(sizes.values())
     shares = {x: min(1.0, max(TRAINING_TEXTS / rows, TRAINING_TEXTS / len(sizes) / n)) for x, n in sizes.items()}
-    limits = labelled.sparkSession.createDataFrame([(x, int(s * 1_000_000)) for x, s in shares.items()], "label string, most long")
-    chosen = labelled.join(F.broadcast(limits), "label").filter(F.pmod(row_key("text"), F.lit(1_000_000)) < F.col("most"))
+    limits = labelled.sparkSession.createDataFrame([(x, _limit(s)) for x, s in shares.items()], "label string, most long")
+    chosen = labelled.join(F.broadcast(limits), "label").filter(F.shiftrightunsigned(row_key("text"), 2) < F.col("most"))
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")))
     counts = stage(chosen.select("label", words.alias("gram")).groupBy("label", "gram").agg(F.count("*").alias("n")), "words")
     padded = F.concat(F.lit("<"), "gram", F.lit(">"))

@@ -43,16 +43,22 @@ def water_filling(sources: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     return sources.withColumn("target", F.least("cap", F.col("weight") * F.lit(float(rate or 0.0)))).drop("cap")
 
 
+def _row(doc_id: str = "doc_id", text: str = "text", source: str = "source") -> Column:
+    """128 bits for a row; rows that are equal in all three share them."""
+    parts = [F.col(doc_id).cast("string"), F.md5(text), F.md5(F.col(source).cast("string"))]
+    return F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(part, F.lit("-")) for part in parts])))
+
+
 def repetitions(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """`row` (key), `doc_id`, `size`, `source`, `source_size`, `target`, `times` for each row of `documents`.
 
     `documents` has `doc_id`, `text`, `source`; other columns are unused. Sources take `weights` in turn, by code point,
     null last. Texts without words, and null ones, have size 0 and add nothing wherever they are taken. Equal rows are taken equally often; in the last part
-    of a target they count as one row each. An empty table gives an empty one.
+    of a target they count as one row each. A document under several sources is taken from each as that source's target has it. An empty table gives an empty one.
     """
     number = F.md5(F.concat_ws("|", F.lit(SEED), F.col("doc_id").cast("string"), F.md5("text")))
     rows = documents.select(
-        F.xxhash64("doc_id", "text").alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"),
+        _row().alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"),
         F.conv(F.substring(number, 1, 15), 16, 10).cast("long").alias("place"),
     )
     rows = stage(rows.withColumn("slice", F.pmod("place", F.lit(SLICES))), "sizes")
@@ -86,9 +92,9 @@ def repetitions(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs
 
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """The rows of `documents`, each as often as the mix takes it."""
+    """The rows of `documents`, each as often as the mix takes it from its source."""
     times = repetitions(documents, weights, epochs).filter("times > 0").groupBy("row").agg(F.max("times").alias("__times"))
-    rows = documents.withColumn("__row", F.xxhash64("doc_id", "text"))
+    rows = documents.withColumn("__row", _row())
     taken = rows.join(times.withColumnRenamed("row", "__row"), "__row")
     columns = [taken[c] for c in documents.columns]
     return taken.select(*columns, F.explode(F.sequence(F.lit(1), "__times")).alias("__copy")).drop("__copy")

@@ -319,6 +319,25 @@ def test_mix(spark, documents, nothing):
     assert mixing.mixed(documents).columns == documents.columns and mixing.mixed(nothing).count() == 0
 
 
+def test_a_document_under_two_sources_is_taken_from_each(spark):
+    """Source a has a tenth of b's words and a larger weight, so its documents are due three times, b's once or not at all."""
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, "a"), (2, text + " x", "a")] + [(i, text, "b") for i in range(1, 21)] + [(1, text, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    times = {(r.doc_id, r.source): r.times for r in mixing.repetitions(df).collect()}
+    taken = Counter((r.doc_id, r.source) for r in mixing.mixed(df).collect())
+    assert taken == Counter({k: n for k, n in times.items() if n})
+    assert times[1, "a"] == 3 and times[1, "b"] < 3
+    repeated = Counter((r.doc_id, r.source) for r in mixing.mixed(df.union(df)).collect())
+    again = {(r.doc_id, r.source): r.times for r in mixing.repetitions(df.union(df)).collect()}
+    assert repeated == Counter({k: 2 * n for k, n in again.items() if n})
+
+
+def test_shares_of_the_largest_languages_are_not_nothing():
+    assert language_id._limit(1.0) == 2**62 and language_id._limit(20_000 / 1e13) > 0
+    assert abs(language_id._limit(1e-7) / 2**62 - 1e-7) < 1e-12
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     vectors = rng.standard_normal((1_500, 16))
