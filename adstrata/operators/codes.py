@@ -28,6 +28,22 @@ def expired(created_at: Column, now: Column, minutes: int = EXPIRY_MINUTES) -> C
     return now > created_at + F.make_dt_interval(mins=F.lit(minutes))
 
 
+def complete_attempt() -> Column:
+    """Whether an attempt has an address and a code."""
+    return (F.coalesce(F.length("email"), F.lit(0)) > 0) & (F.coalesce(F.length("verification_code"), F.lit(0)) > 0)
+
+
+def status_of(match: Column, minutes: int = EXPIRY_MINUTES) -> Column:
+    """An attempt's status, given the newest code up to then (`code`, `created_at`), or NULL."""
+    return (
+        F.when(~complete_attempt(), "missing_input")
+        .when(match.isNull(), "unknown_email")
+        .when(~match["code"].eqNullSafe(F.col("verification_code")), "invalid_code")
+        .when(expired(match["created_at"], F.col("attempted_at"), minutes), "expired")
+        .otherwise("verified")
+    )
+
+
 def check_codes(
     attempts: DataFrame,
     codes: DataFrame,
@@ -41,7 +57,7 @@ def check_codes(
     no pairs are made. Only codes of addresses with an attempt are read into that order. Addresses with
     more than `hot_rows` rows are carried minute by minute.
     """
-    given = (F.coalesce(F.length("email"), F.lit(0)) > 0) & (F.coalesce(F.length("verification_code"), F.lit(0)) > 0)
+    given = complete_attempt()
     incomplete = attempts.filter(~given).withColumn("_match", F.lit(None))
     complete = attempts.filter(given)
     known = codes.filter(F.col("email").isNotNull() & F.col("created_at").isNotNull()).select(
@@ -60,14 +76,7 @@ def check_codes(
         ).unionByName(
             _carried_by_minute(complete.join(hot, "email", "left_semi"), known.join(hot, "email", "left_semi"))
         )
-    match = F.col("_match")
-    status = (
-        F.when(~given, "missing_input")
-        .when(match.isNull(), "unknown_email")
-        .when(~match["code"].eqNullSafe(F.col("verification_code")), "invalid_code")
-        .when(expired(match["created_at"], F.col("attempted_at"), minutes), "expired")
-        .otherwise("verified")
-    )
+    status = status_of(F.col("_match"), minutes)
     checked = matched.unionByName(incomplete.withColumn("_match", F.lit(None).cast(matched.schema["_match"].dataType)))
     return checked.select(*attempts.columns, status.alias("status"))
 

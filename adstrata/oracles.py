@@ -280,6 +280,7 @@ select attempt_id, email, case when coalesce(email,'')='' or coalesce(verificati
   select email, verification_code from codes union all select 'user7@example.com', '0000') c group by email""",
     ),
     "stream_code_check": (["codes", "attempts"], _CODE_CHECK),
+    "stream_code_join": (["codes", "attempts"], _CODE_CHECK),
     "code_delete": (
         ["codes"],
         "select code_id, email, verification_code from codes where email not in (select 'user'||cast(user_id as varchar)||'@example.com' "

@@ -30,7 +30,7 @@ from adstrata.session import stage, staging_path
 from adstrata.sources.config import load_environment
 from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.sources.version_index import VersionIndex
-from adstrata.streaming.codes import check_stream
+from adstrata.streaming.codes import check_joined_streams, check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -516,6 +516,32 @@ def stream_code_check(spark, sf_dir):
     return results.read(spark).select("attempt_id", "email", "status")
 
 
+def _in_time_order(rows: DataFrame, column: str, last: dict[str, str]) -> DataFrame:
+    """A stream of the rows in three files by time. A row long after all others, which lets the stream finish those, is the last."""
+    spark, folder = rows.sparkSession, staging_path(rows.sparkSession, "in-order")
+    rows = rows.withColumn(column, F.col(column).cast("timestamp"))
+    for start, end in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
+        rows.filter((F.col(column) >= start) & (F.col(column) < end)).coalesce(1).write.mode("append").parquet(folder)
+    sentinel = [F.expr(last.get(name, "null")).cast(kind).alias(name) for name, kind in rows.dtypes]
+    spark.range(1).select(*sentinel).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def stream_code_join(spark, sf_dir):
+    """The check of attempts that arrive as a stream, joined with the codes, which arrive as another."""
+    results, known = _scratch_table(spark, "checked"), samples.verification_codes(spark, sf_dir)
+    # With an address: rows without one are left out before the stream of codes notes how far it is.
+    end = {"email": "'end'", "attempted_at": "timestamp'2100-01-01'", "created_at": "timestamp'2100-01-01'"}
+    attempts = _in_time_order(samples.verification_attempts(spark, sf_dir), "attempted_at", end)
+    made = _in_time_order(known, "created_at", end)
+    stored = known.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    check_joined_streams(
+        attempts, made, lambda: stored, results, staging_path(spark, "stream"), tiebreak="code_id", delay="1 hour"
+    ).awaitTermination()
+    return results.read(spark).select("attempt_id", "email", "status")
+
+
 @query
 def code_delete(spark, sf_dir):
     """The codes left once the addresses of accounts with a late error are deleted."""

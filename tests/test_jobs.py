@@ -2,12 +2,13 @@ import json
 import os
 from collections import Counter
 from dataclasses import replace
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from builders import MARKET, creative, raw, source
 from pyspark.sql import functions as F
 
+from adstrata.operators.codes import check_codes
 from adstrata.operators.media import page_outcomes
 from adstrata.operators.projection import market_records, raw_rows, unusable_records
 from adstrata.plans import codes as code_plans
@@ -18,7 +19,7 @@ from adstrata.schemas import CODE_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTI
 from adstrata.sources import commits, rewrite
 from adstrata.sources.config import Environment, load_environment
 from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
-from adstrata.streaming.codes import append_once, check_stream
+from adstrata.streaming.codes import append_once, check_joined_streams, check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
 S = IngestStatus
@@ -325,6 +326,36 @@ def test_attempts_checked_as_they_arrive(spark, new_table, tmp_path):
     assert sorted(r.status for r in results.read(spark).collect()) == ["invalid_code", "unknown_email", "verified"]
 
 
+def test_codes_and_attempts_as_two_streams(spark, new_table, tmp_path):
+    """Results equal the batch check; what is held does not grow with the streams; an attempt that is too late is dropped."""
+    at = lambda minutes: datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(minutes=minutes)
+    made = [(f"u{i % 30}", str(i % 7), at(5 * i)) for i in range(120)] + [("u1", "0", at(5)), ("u1", "6", at(7))]
+    tries = [(i, f"u{i % 30}", str(i % 7 if i % 4 else 9), at(5 * i + i % 25)) for i in range(120)]
+    tries += [(200, None, "1", at(30)), (201, "u3", "", at(300)), (202, "nobody", "1", at(301)), (203, "u1", "6", at(8)), (204, "u2", "2", at(20))]
+    codes_schema, tries_schema = "email string, verification_code string, created_at timestamp", "attempt_id long, email string, verification_code string, attempted_at timestamp"
+
+    def folder(name, rows, schema, end):
+        path = str(tmp_path / name)
+        steps = [[r for r in rows if at(150 * n) <= r[-1] < at(150 * (n + 1))] for n in range(5)]
+        for part in [*steps, *end]:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    late = (300, "u1", "1", at(6))
+    attempts = folder("attempts", tries, tries_schema, [[(-1, "end", "", at(5000))], [late], [(-2, "end", "", at(5001))]])
+    codes = folder("codes", made, codes_schema, [[("end", "", at(5000))], [("end", "", at(5001))], [("end", "", at(5002))]])
+    known = spark.createDataFrame(made, codes_schema)
+    results = new_table("checked")
+    run = check_joined_streams(attempts, codes, lambda: known, results, str(tmp_path / "state"))
+    run.awaitTermination()
+    got = Counter((r.attempt_id, r.status) for r in results.read(spark).collect())
+    want = Counter((r.attempt_id, r.status) for r in check_codes(spark.createDataFrame(tries, tries_schema), known).collect())
+    assert got == want and set(Counter(s for _, s in want)) == {"verified", "invalid_code", "expired", "unknown_email", "missing_input"}
+    joins = [op for p in run.recentProgress for op in p["stateOperators"] if op["operatorName"] == "symmetricHashJoin"]
+    assert 30 < max(op["numRowsTotal"] for op in joins) < 160  # of 247
+    assert sum(op["numRowsDroppedByWatermark"] for op in joins) == 1
+
+
 def test_a_batch_that_comes_again_is_stored_once(spark, new_table):
     rows, results = spark.range(3), new_table("results")
     assert append_once(rows, results, "s", 0) and not append_once(rows, results, "s", 0)
