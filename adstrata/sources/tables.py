@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,8 +42,10 @@ class TableRef:
         described = spark.sql(f"DESCRIBE FORMATTED {self.name}")
         return described.filter("col_name = 'Location'").first()["data_type"]
 
-    def create(self, spark: SparkSession, schema: T.StructType, partitioned_by: str | None = None) -> None:
-        """Create the table if it is absent. Files already in its folder become its rows."""
+    def create(
+        self, spark: SparkSession, schema: T.StructType, partitioned_by: str | None = None, options: Mapping[str, str] | None = None
+    ) -> None:
+        """Create the table if it is absent. Files already in its folder become its rows. All writes to it have the `options`."""
         if "." in self.name:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.name.rsplit('.', 1)[0]}")
         if self.location:
@@ -53,17 +55,23 @@ class TableRef:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         partitions = f"PARTITIONED BY (`{partitioned_by}`)" if partitioned_by else ""
         location = f"LOCATION '{self.location}'" if self.location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet {partitions} {location}")
+        written = ", ".join(f"'{key}' '{value}'" for key, value in (options or {}).items())
+        given = f"OPTIONS ({written})" if written else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet {given} {partitions} {location}")
         if partitioned_by and self.location:
             spark.sql(f"MSCK REPAIR TABLE {self.name}")
 
 
+# Files are sorted by advertiser, so a creative's id lies within the bounds of many row groups; a Bloom filter tells which hold it.
+RAW_OPTIONS = {"parquet.bloom.filter.enabled#creative_id": "true"}
+
+
 def ensure_raw_table(spark: SparkSession, raw: TableRef) -> IngestStatus:
     """Create the raw table, partitioned by day, unless it exists."""
     if raw.exists(spark):
         return IngestStatus.TABLE_EXISTS
     try:
-        raw.create(spark, RAW_SCHEMA, PARTITION_COLUMN)
+        raw.create(spark, RAW_SCHEMA, PARTITION_COLUMN, RAW_OPTIONS)
     except Exception:
         log.exception("could not create %s", raw.name)
         return IngestStatus.TABLE_CREATION_FAILED

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adstrata.operators.codes import check_codes
 from adstrata.operators.media import page_outcomes
 from adstrata.operators.projection import market_records, raw_rows, unusable_records
+from adstrata.operators.pruning import relevant_history
 from adstrata.plans import codes as code_plans
 from adstrata.plans import ingest, marts, refresh
 from adstrata.plans.media import MediaResult, MediaTables, advertiser_ids_of_links, media_links_job
@@ -18,7 +19,7 @@ from adstrata.plans.status import IngestStatus, RefreshMode
 from adstrata.schemas import CODE_SCHEMA, LOAD_COLUMN, LOADED_LINK_SCHEMA, PARTITION_COLUMN, RAW_COLUMNS, RAW_SCHEMA
 from adstrata.sources import commits, rewrite
 from adstrata.sources.config import Environment, load_environment
-from adstrata.sources.tables import TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
+from adstrata.sources.tables import RAW_OPTIONS, TableRef, append, append_raw, ensure_raw_table, replace_partition, with_partition
 from adstrata.streaming.codes import append_once, check_joined_streams, check_stream
 from adstrata.streaming.ingest import ingest_stream, stream_creatives
 
@@ -81,6 +82,43 @@ def test_append_counts_and_lays_out_rows(spark, new_table):
         assert keys == sorted(keys)
 
 
+def rows_scanned(df):
+    """The rows that the only scan of a plan gave out, once it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if hasattr(plan, "isFinalPlan") and "Adaptive" in plan.getClass().getName() else plan
+    return plan.collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+
+def test_a_targeted_read_skips_row_groups(spark, new_table):
+    """Every advertiser has creatives of all ranges, so bounds don't help; each creative is in one row group of many."""
+    rows = spark.range(60_000).select(
+        F.expr("timestamp'2024-01-05'").alias("data_modified"), F.expr("timestamp'2024-02-01'").alias("metadata_time"),
+        F.format_string("AR%04d", F.col("id") % 40).alias("advertiser_id"), F.md5(F.col("id").cast("string")).alias("creative_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("raw_data"),
+    )
+    wanted = [r.creative_id for r in rows.filter("id in (7, 30011)").collect()]
+    read = {}
+    for bloom in (True, False):
+        table = new_table("raw")
+        small = {"parquet.block.size": "500000", "parquet.page.row.count.limit": "1000", "parquet.block.row.count.limit": "2000"}
+        table.create(spark, RAW_SCHEMA, PARTITION_COLUMN, {**small, **(RAW_OPTIONS if bloom else {})})
+        append_raw(with_partition(rows), table)
+        found = table.read(spark).filter(F.col("creative_id").isin(wanted))
+        read[bloom] = rows_scanned(found)
+        assert found.count() == 2
+    assert read[True] <= 2 * 2_000 < 20_000 < read[False]
+
+
+def test_few_creatives_are_named_to_the_reader(spark, target):
+    ensure_raw_table(spark, target.raw)
+    batch = with_partition(raw(spark, ("AR1", "CR1", "t"), ("AR1", "CR2", "t")))
+    plan = relevant_history(target.raw.read(spark), batch)._jdf.queryExecution().executedPlan().toString()
+    assert " IN (CR1,CR2)" in plan or " IN (CR2,CR1)" in plan
+    many = with_partition(raw(spark, *[("AR1", f"CR{n}", "t") for n in range(150)]))
+    assert " IN (CR" not in relevant_history(target.raw.read(spark), many)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_month_partitions(spark, new_table):
     table = new_table()
     ensure_raw_table(spark, table)
