@@ -3,6 +3,43 @@
 from __future__ import annotations
 
 _SQL: dict[str, str] = {
+    "op7_ngram_jaccard_join": r"""
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then cast([] as varchar[]) when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end s
+  from words),
+shingles as (select doc_id, len(s) n, unnest(s) x from sets),
+links as (
+  select a.doc_id a, b.doc_id b from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a)
+select doc_id, len(s) n_shingles, least(doc_id, (select min(b) from reached where a = doc_id)) component_id
+from sets""",
+    "op8_url_filter": r"""
+with parts as (
+  select page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+    regexp_replace(regexp_replace(coalesce(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), ''), '(^|&)(utm_[a-z]+|gclid|fbclid|ref)=[^&]*', '', 'g'), '^&', '') query
+  from pages),
+named as (
+  select *, case when host <> '' then regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/$', '')
+    || case when query <> '' then '?' || query else '' end end canonical
+  from parts),
+ruled as (
+  select *, case when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'
+    when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/es/') then 'example.org/es/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/' end "rule"
+  from named)
+select page_id, host, path, "rule", case when "rule" in ('org/', 'com/fr/') then 'allow' when "rule" is not null then 'block'
+  when canonical in (select canonical from named where canonical is not null and regexp_matches(host, '(^|[.-])(casino|bets|pills)([.-]|$)')) then 'block'
+  else 'allow' end verdict
+from ruled""",
     "op11_hard_negatives": """
 with vectors as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
