@@ -21,5 +21,6 @@ class IngestStatus(Enum):
 class RefreshMode(str, Enum):
     """Which creatives a refresh covers."""
 
+    # The words callers pass.
     ALL = "all"
     SPECIFIC = "specific"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adstrata import samples
-from adstrata.functions.dates import is_day_text, look_back, parse_day, utc_day
+from adstrata.functions.dates import is_day_text, parse_day, utc_day
 from adstrata.functions.regions import shown_in
 from adstrata.functions.text import is_email
 from adstrata.operators import codes, media, projection, required, versions
@@ -183,20 +183,27 @@ def gate_first_shown(spark, sf_dir):
     return between_days(_tracked(spark, sf_dir), "first_shown_date", *WINDOW).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _loaded(spark: SparkSession, sf_dir: str, load: Callable[[ingest.Target], object]) -> DataFrame:
+    """What a job adds to a raw table that holds the history."""
+    target = ingest.Target(raw=_scratch_table(spark, "raw"), market=MARKET, granularity="month")
+    ensure_raw_table(spark, target.raw)
+    append_raw(samples.raw_history(spark, sf_dir), target.raw)
+    load(target)
+    return _raw_output(target.raw.read(spark).filter(F.col("metadata_time") > F.lit(samples.HISTORY_TIME)))
+
+
 @query
 def ingest_id_list(spark, sf_dir):
     """Back-fill of a list of advertisers, held in a table."""
-    ids = samples.segment_advertisers(spark, sf_dir, SEGMENT)
-    records = market_records(listed(samples.creative_stats(spark, sf_dir), ids), MARKET)
-    return _raw_output(_new(spark, sf_dir, between_days(records, "last_shown_date", *WINDOW)))
+    source, ids = samples.creative_stats(spark, sf_dir), samples.segment_advertisers(spark, sf_dir, SEGMENT)
+    return _loaded(spark, sf_dir, lambda target: ingest.backfill(spark, source, target, ids, *WINDOW, gate="same_as_insert"))
 
 
 @query
 def ingest_three_month(spark, sf_dir):
     """Back-fill of the 90 days up to the day before a given day."""
-    ids = samples.segment_advertisers(spark, sf_dir, SEGMENT)
-    records = market_records(listed(samples.creative_stats(spark, sf_dir), ids), MARKET)
-    return _raw_output(_new(spark, sf_dir, between_days(records, "last_shown_date", *look_back(AS_OF))))
+    source, ids = samples.creative_stats(spark, sf_dir), samples.segment_advertisers(spark, sf_dir, SEGMENT)
+    return _loaded(spark, sf_dir, lambda target: ingest.three_month_backfill(spark, source, target, ids, AS_OF, gate="same_as_insert"))
 
 
 @query

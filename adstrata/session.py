@@ -30,10 +30,13 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Where that is unset, as in tests, it is set to a folder in the warehouse, which executors share as well.
+    Where that is unset, as in tests, it is set to a folder in the warehouse. Only on one machine: on a cluster a warehouse
+    may be a folder of the driver's own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from adstrata.operators.projection import market_records, raw_rows
 from adstrata.operators.selection import listed
 from adstrata.plans.ingest import Target, load_new
+from adstrata.plans.status import IngestStatus
 from adstrata.sources.tables import ensure_raw_table
 
 
@@ -31,9 +32,10 @@ def ingest_stream(
 
     The tracking table is read anew for every batch. The raw table is the state: a batch that is run
     again after a failure finds its own rows there and adds only the rest, so nothing is kept in memory
-    between batches.
+    between batches. Nothing is started if the raw table can't be made.
     """
-    ensure_raw_table(stream.sparkSession, target.raw)
+    if ensure_raw_table(stream.sparkSession, target.raw) is IngestStatus.TABLE_CREATION_FAILED:
+        raise RuntimeError(f"could not create {target.raw.name}")
 
     def load(batch: DataFrame, _: int) -> None:
         chosen = listed(batch, tracking().select("advertiser_id"))

@@ -364,6 +364,14 @@ def test_attempts_checked_as_they_arrive(spark, new_table, tmp_path):
     assert sorted(r.status for r in results.read(spark).collect()) == ["invalid_code", "unknown_email", "verified"]
 
 
+def test_a_stream_without_a_table_is_not_started(spark, tracking, tmp_path):
+    source(spark, creative()).write.parquet(str(tmp_path / "in"))
+    stream = stream_creatives(spark, str(tmp_path / "in"), source(spark).schema)
+    unmade = ingest.Target(raw=TableRef("unwritable_too", "/proc/no-such-folder/t"), market=MARKET)
+    with pytest.raises(RuntimeError, match="could not create"):
+        ingest_stream(stream, lambda: tracking, unmade, str(tmp_path / "state"))
+
+
 def test_codes_and_attempts_as_two_streams(spark, new_table, tmp_path):
     """Results equal the batch check; what is held does not grow with the streams; an attempt that is too late is dropped."""
     at = lambda minutes: datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(minutes=minutes)

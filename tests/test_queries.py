@@ -58,7 +58,7 @@ def plan(df) -> str:
 JOBS = {
     "run_status", "stream_ingest", "media_routed", "media_loads", "stream_code_check", "code_forgotten", "ingest_indexed",
     "version_history_extended", "mart_creatives_merged", "refresh_status", "ingest_by_environment", "raw_layout", "code_stored",
-    "published_models", "stream_code_join",
+    "published_models", "stream_code_join", "ingest_id_list", "ingest_three_month",
 }
 LAZY = sorted(set(SQL) - JOBS)
 
