@@ -3,6 +3,38 @@
 from __future__ import annotations
 
 _SQL: dict[str, str] = {
+    "op6_source_mixing": r"""
+with numbered as (
+  select doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) size,
+    cast('0x' || left(md5(concat_ws('|', 'mix', cast(doc_id as varchar), md5(text))), 15) as bigint) place
+  from documents),
+placed as (select *, place % 4096 slice from numbered),
+sources as (
+  select source, cast(sum(size) as bigint) source_size, [5.0, 2.0, 1.0][(row_number() over (order by source nulls last) - 1) % 3 + 1]::double weight,
+    3 * sum(size)::double cap
+  from placed group by source),
+filled as (  -- those up to each source, by how soon they are full, are full; the others share the rest by weight
+  select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / weight, source rows between unbounded preceding and 1 preceding), 0))::double
+    / sum(weight) over (order by cap / weight, source rows between current row and unbounded following) rate,
+    row_number() over (order by cap / weight, source) k
+  from sources),
+targets as (
+  select source, source_size, least(cap, weight * (select rate from filled where cap > weight * rate order by k limit 1)) target
+  from sources),
+plan as (select *, case when source_size > 0 then floor(target / source_size) else 0 end whole, target - whole * source_size rest from targets),
+slices as (
+  select source, slice, sum(sum(size)) over (partition by source order by slice) - sum(size) "before"
+  from placed group by source, slice),
+ends as (
+  select p.source, max(s.slice) "end", max(s."before") "before" from slices s join plan p on s.source is not distinct from p.source
+  where s."before" < p.rest group by p.source),
+joined as (
+  select d.*, p.source_size, p.target, p.whole, p.rest, e."end", e."before",
+    sum(d.size) over (partition by d.source, d.slice order by d.place rows unbounded preceding) - d.size / 2.0 upto
+  from placed d join plan p on d.source is not distinct from p.source left join ends e on d.source is not distinct from e.source)
+select doc_id, size, source_size, target, cast(size * least(3, whole + case when "end" is null or slice > "end" then 0 when slice < "end" then 1
+  when "before" + upto < rest then 1 else 0 end) as bigint) taken
+from joined""",
     "op7_ngram_jaccard_join": r"""
 with recursive words as (
   select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
