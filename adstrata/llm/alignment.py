@@ -8,15 +8,16 @@ character (several then report the whole of it) and byte-fallback pieces end whe
 Offsets where tokens of both end cut them into groups. No token is empty, so exactly one token of each ends at such an offset:
 the last ones of the group are its link.
 
-Texts are read in pieces, from the space or line feed after a visible character to the next. Neither tokenizer has a token across
-such a place (`Tokenizers` looks through both vocabularies), so pieces are read alone, and each worker remembers those it
-met before. A text for which that does not hold is one piece.
+Texts are read in pieces, from the space or line feed after a visible character to the next. A splits texts there before it merges,
+and B has no piece with a space or line feed after another character (`_Pair` looks whether both are so), so no token lies across
+such a place: pieces are read alone, and each worker remembers those it met before. Otherwise a text is one piece.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -80,7 +81,10 @@ class _Pair:
         self.text_a = {end: np.array([f"{i}{end}" for i in range(len(self.bytes_a))], object) for end in ",|"}
         self.text_b = {end: np.array([f"{i}{end}" for i in range(len(pieces))], object) for end in ",;\n"}
         inner = [p.lstrip(_SPACE) for i, p in enumerate(pieces) if not self.b.is_control(i)]
-        self.cut = not any(_SPACE in p or "\n" in p for p in inner)
+        splits = json.loads(a)
+        before_merges = splits["pre_tokenizer"] or {}
+        self.cut = splits["normalizer"] is None and before_merges.get("type") == "ByteLevel" and before_merges.get("use_regex", True)
+        self.cut = self.cut and not any(_SPACE in p or "\n" in p for p in inner)
         self.recent: dict[str, tuple | None] = {}
         self.earlier: dict[str, tuple | None] = {}
 

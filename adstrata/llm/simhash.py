@@ -6,10 +6,10 @@ bit deleted, 64 in all: two segments share a variant exactly if they differ at m
 one task, which verifies them.
 
 Equal fingerprints are one row from the start. Of a variant with more than a few fingerprints, only links that connect them are
-sent on, at most one fewer than there are, never all pairs; a pair
-of a smaller one is sent by the first variant it shares. A variant of very many different fingerprints is passed on unread, and cut further:
-two of its fingerprints differ in at most four of the other bits, so of five pieces of those one is equal. Where that leaves
-many still, they are dealt into blocks, and each pair of blocks is a task.
+sent on, at most one fewer than there are, never all pairs; a pair of a smaller one is sent by the first variant it shares. A
+variant of very many different fingerprints is passed on unread, and cut further: two of its fingerprints differ in at most
+four of the other bits, so of five pieces of those one is equal. Where that leaves many still, they are dealt into blocks, and
+each pair of blocks is a task.
 """
 
 from __future__ import annotations
