@@ -1,8 +1,8 @@
 """A table of the stored versions' digests beside a raw table, bucketed so that a load joins it without shuffling it.
 
 A version is its advertiser, creative and text; its digest is 128 bits of their SHA-256, so digests spread evenly over the
-buckets whatever creative has many versions. The index is partitioned by the month first shown, which equal versions share, so
-a load reads the months it has. It takes 16 bytes a stored row where the raw table holds texts.
+buckets whatever creative has many versions. The index is partitioned by the year first shown, which equal versions share, so
+a load reads the years it has. It takes 16 bytes a stored row where the raw table holds texts.
 
 The index follows the raw table: each load adds what it appended, and then notes the files of both. A load that finds other files
 than those noted, because one before it stopped half-way, somebody else wrote, or files of the index were lost, builds it anew.
@@ -23,7 +23,7 @@ from adstrata.sources.tables import TableRef, delete_folder
 log = logging.getLogger(__name__)
 
 VERSION = "version"
-MONTH = "first_month"
+YEAR = "first_year"
 #: The table property that holds a digest of the names of both tables' files.
 FILES = "adstrata.indexed_files"
 
@@ -34,13 +34,13 @@ def version_digest() -> Column:
     return F.substring(F.unhex(F.sha2(F.concat(*ids, "raw_data"), 256)), 1, 16)
 
 
-def first_month() -> Column:
-    return F.trunc(PARTITION_COLUMN, "month").cast("date")
+def first_year() -> Column:
+    return F.trunc(PARTITION_COLUMN, "year").cast("date")
 
 
 @dataclass(frozen=True)
 class VersionIndex:
-    """The index of a raw table. Choose `buckets` so that a bucket of a month's digests fits a task."""
+    """The index of a raw table. Choose `buckets` so that a bucket of a year's digests fits a task."""
 
     raw: TableRef
     table: TableRef
@@ -51,7 +51,7 @@ class VersionIndex:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.table.name.rsplit('.', 1)[0]}")
         location = f"LOCATION '{self.table.location}'" if self.table.location else ""
         spark.sql(
-            f"CREATE TABLE {self.table.name} ({VERSION} BINARY, {MONTH} DATE) USING parquet PARTITIONED BY ({MONTH}) "
+            f"CREATE TABLE {self.table.name} ({VERSION} BINARY, {YEAR} DATE) USING parquet PARTITIONED BY ({YEAR}) "
             f"CLUSTERED BY ({VERSION}) INTO {self.buckets} BUCKETS {location}"
         )
 
@@ -85,18 +85,18 @@ class VersionIndex:
 
     def add(self, rows: DataFrame) -> None:
         """Add the versions of raw-table rows."""
-        versions = rows.select(version_digest().alias(VERSION), first_month().alias(MONTH)).dropna().distinct()
-        # A task a bucket, so a month gets one file a bucket and load.
-        dealt = versions.repartition(self.buckets, VERSION).sortWithinPartitions(MONTH, VERSION)
+        versions = rows.select(version_digest().alias(VERSION), first_year().alias(YEAR)).dropna().distinct()
+        # A task a bucket, so a year gets one file a bucket and load.
+        dealt = versions.repartition(self.buckets, VERSION).sortWithinPartitions(YEAR, VERSION)
         dealt.write.insertInto(self.table.name)
 
     def known(self, rows: DataFrame) -> DataFrame:
         """The digests of those of the (staged) rows whose version is stored. The index is read in place, by buckets."""
         spark = rows.sparkSession
-        keyed = rows.select(version_digest().alias(VERSION), first_month().alias(MONTH)).dropna()
+        keyed = rows.select(version_digest().alias(VERSION), first_year().alias(YEAR)).dropna()
         # Their number is bounded by the years covered.
-        months = [r[0] for r in keyed.select(MONTH).distinct().collect()]
-        stored = self.table.read_anew(spark).filter(F.col(MONTH).isin(months)).select(VERSION)
+        years = [r[0] for r in keyed.select(YEAR).distinct().collect()]
+        stored = self.table.read_anew(spark).filter(F.col(YEAR).isin(years)).select(VERSION)
         asked = keyed.select(VERSION).distinct().repartition(self.buckets, VERSION)
         return asked.join(stored.hint("merge"), VERSION, "left_semi")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adstrata.plans import ingest, refresh
 from adstrata.sources.tables import append_raw, ensure_raw_table, with_partition
-from adstrata.sources.version_index import MONTH, VERSION, VersionIndex, version_digest
+from adstrata.sources.version_index import YEAR, VERSION, VersionIndex, version_digest
 
 
 @pytest.fixture
@@ -28,8 +28,8 @@ def plain(spark, new_table):
     return target
 
 
-def creatives(spark, *numbers, topic="cars", month=1):
-    day = f"2024-{month:02}-05"
+def creatives(spark, *numbers, topic="cars", year=2024):
+    day = f"{year}-01-05"
     return source(spark, *[creative(number=f"CR{n}", topic=topic, regions=((MARKET, day, day),)) for n in numbers])
 
 
@@ -42,12 +42,12 @@ def load(spark, target, df):
 
 
 def test_three_loads_equal_those_without_an_index(spark, indexed, plain):
-    batches = [creatives(spark, 1, 2, 3), creatives(spark, 2, 3, 4, topic="boats"), creatives(spark, 1, 2, 2, 5, month=2)]
+    batches = [creatives(spark, 1, 2, 3), creatives(spark, 2, 3, 4, topic="boats"), creatives(spark, 1, 2, 2, 5, year=2023)]
     added = [(load(spark, indexed, df), load(spark, plain, df)) for df in [*batches, *batches]]
     assert added == [(3, 3), (3, 3), (4, 4), (0, 0), (0, 0), (0, 0)]
     assert held(spark, indexed) == held(spark, plain)
     versions = indexed.index.table.read_anew(spark)
-    assert versions.count() == len(held(spark, indexed)) and versions.select(MONTH).distinct().count() == 2
+    assert versions.count() == len(held(spark, indexed)) and versions.select(YEAR).distinct().count() == 2
 
 
 def test_all_kinds_of_loads_use_it(spark, indexed):
