@@ -296,6 +296,17 @@ def test_similar_documents(spark, documents, nothing, monkeypatch):
     assert ngram_join.similar_documents(nothing).count() == 0
 
 
+def test_similar_documents_beside_rows_without_words_or_id(spark):
+    """In one batch: numbers of sets and ids stay whole numbers beside nulls."""
+    base, first = prose(12, 100).split(), 2**60 + 1
+    rows = [(first + 2 * i, " ".join(base[: 50 + i] + ["new"] + base[51 + i :])) for i in range(4)]
+    rows += [(first + 20, None), (first + 22, ""), (None, " \n"), (None, prose(13, 40))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = ngram_join.similar_documents(frame).select("doc_id", "n_shingles", "component_id").collect()
+    expected = [(first + 2 * i, 96, first) for i in range(4)] + [(first + 20, 0, first + 20), (first + 22, 0, first + 22), (None, 0, None), (None, 36, None)]
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 9)] + [(20, 21), (30, 30)]
     labels = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
