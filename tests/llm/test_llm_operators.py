@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import base64
+import glob
 import hashlib
+import os
 import re
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -14,6 +17,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from adstrata.llm import bpe, language_id, line_dedup, mixing, ngram_join, nn_descent, pii, quality, token_counts, url_filter
+from adstrata.llm.common import stage
 from adstrata.llm.components import connected_components
 from adstrata.llm.queries import edits_of, vocabulary
 
@@ -307,6 +311,17 @@ def test_similar_documents_beside_rows_without_words_or_id(spark):
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
 
 
+def test_stage_leaves_no_shuffle_files(spark):
+    folder = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    shuffled = spark.range(10_000).select(F.xxhash64("id").alias("h")).groupBy("h").count()
+    files = lambda: set(glob.glob(f"{folder}/**/shuffle_*.data", recursive=True))
+    before = files()
+    assert stage(shuffled, "once").columns == ["h", "count"]
+    assert not files() - before
+    assert stage(shuffled, "twice").count() == shuffled.count() == 10_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 9)] + [(20, 21), (30, 30)]
     labels = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
