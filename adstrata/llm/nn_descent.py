@@ -29,6 +29,8 @@ FEW = 0.01
 BEAM, EXPANDED = 96, 32
 #: Nodes that a search of a vector that isn't in the graph starts from.
 ENTRIES = 64
+#: Queries whose beams are kept by one task, about.
+QUERIES_AT_ONCE = 64
 #: Members of a node that are told apart: as many as a query wants, and itself.
 _LIST = "node long, ids array<long>, sims array<float>"
 
@@ -76,23 +78,29 @@ def _unit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[["node"]].assign(unit=packed)
 
 
-def _coded(size: int, order: int):
+def _coded(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes = np.random.default_rng(order).standard_normal((size, 20)).astype(np.float32)
+        planes = [np.random.default_rng(order).standard_normal((size, 20)).astype(np.float32) for order in range(ORDERS)]
         for batch in batches:
-            signs = _matrix(batch["unit"]) @ planes > 0 if len(batch) else np.zeros((0, 20), bool)
-            yield batch.assign(code=signs @ (1 << np.arange(20, dtype=np.int64)))
+            units = _matrix(batch["unit"]) if len(batch) else np.zeros((0, size), np.float32)
+            for order in range(ORDERS):
+                yield batch.assign(order=order, code=(units @ planes[order] > 0) @ (1 << np.arange(20, dtype=np.int64)))
 
     return run
 
 
 def _run_neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Neighbours in runs of rows that come sorted by order and code; no run goes on into the next order."""
     rest = None
     for batch in batches:
-        rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        while len(rest) >= 2 * RUN:
-            yield _among(rest.iloc[:RUN])
-            rest = rest.iloc[RUN:]
+        for _, part in batch.groupby("order"):
+            if rest is not None and rest["order"].iloc[0] != part["order"].iloc[0]:
+                yield _among(rest)
+                rest = None
+            rest = part if rest is None else pd.concat([rest, part], ignore_index=True)
+            while len(rest) >= 2 * RUN:
+                yield _among(rest.iloc[:RUN])
+                rest = rest.iloc[RUN:]
     if rest is not None and len(rest):
         yield _among(rest)
 
@@ -159,13 +167,9 @@ def _limited(edges: DataFrame, by: str, most: int, *order) -> DataFrame:
 
 def neighbour_graph(units: DataFrame, size: int) -> DataFrame:
     """`node`, `ids`, `sims`: the lists of near neighbours of the nodes in `units` (`node`, `unit`)."""
-    lists = None
-    for order in range(ORDERS):
-        coded = units.mapInPandas(_coded(size, order), "node long, unit binary, code long")
-        runs = coded.repartitionByRange("code", "node").sortWithinPartitions("code", "node")
-        found = runs.mapInPandas(_run_neighbours, _LIST)
-        lists = found if lists is None else lists.union(found)
-    graph = _merge(lists.withColumn("old", F.lit(True)))
+    coded = units.mapInPandas(_coded(size), "node long, unit binary, order int, code long")
+    runs = coded.repartitionByRange("order", "code", "node").sortWithinPartitions("order", "code", "node")
+    graph = _merge(runs.mapInPandas(_run_neighbours, _LIST).withColumn("old", F.lit(True)))
     for round_ in range(ROUNDS):
         farthest = F.when(F.size("sims") >= NEIGHBOURS, F.element_at("sims", -1)).otherwise(-2.0).alias("farthest")
         members = stage(units.join(graph.select("node", farthest), "node"), "members")
@@ -226,15 +230,18 @@ def search(queries: DataFrame, units: DataFrame, graph: DataFrame) -> DataFrame:
     `entries` are the nodes to start from.
     """
     spark = queries.sparkSession
+    tasks = max(1, -(-queries.count() // QUERIES_AT_ONCE))
     edges = graph.select("node", F.posexplode("ids").alias("at", "other"))
     back = graph.select(F.explode(F.arrays_zip("ids", "sims")).alias("x"), F.col("node").alias("other"))
     back = _limited(back.select(F.col("x.ids").alias("node"), "other", F.col("x.sims").alias("sim")), "node", NEIGHBOURS, F.desc("sim"), "other")
     beside = edges.select("node", "other").union(back.select("node", "other")).distinct()
     beside = beside.join(units.withColumnRenamed("node", "other"), "other")
-    packed = beside.repartition("node").sortWithinPartitions("node").mapInPandas(_packed, "node long, others array<long>, units binary")
+    # Bucketed by node, the graph isn't shuffled again in any round. A task of the write has just one bucket, so it writes one file.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = beside.repartition(buckets, "node").sortWithinPartitions("node")
+    packed = packed.mapInPandas(_packed, "node long, others array<long>, units binary")
     name = f"neighbours_{uuid.uuid4().hex}"
-    # Bucketed by node, the graph isn't shuffled again in any round.
-    packed.write.bucketBy(32, "node").sortBy("node").format("parquet").saveAsTable(name)
+    packed.write.bucketBy(buckets, "node").sortBy("node").format("parquet").saveAsTable(name)
     try:
         beside = spark.table(name)
         beam = "query long, ids array<long>, sims array<float>, done array<long>, next array<long>, worst double"
@@ -245,7 +252,8 @@ def search(queries: DataFrame, units: DataFrame, graph: DataFrame) -> DataFrame:
         state = None
         while True:
             lists = seen if state is None else seen.union(state.select("query", "ids", "sims", "done"))
-            lists = lists.repartition("query").sortWithinPartitions("query")
+            # Few queries don't need as many tasks as there are shuffle partitions; many take all of these.
+            lists = lists.repartition("query").coalesce(tasks).sortWithinPartitions("query")
             state = stage(lists.mapInPandas(_beams, beam), "beams")
             frontier = state.select("query", "worst", F.explode("next").alias("node")).join(queries.select("query", "unit"), "query")
             if state.filter(F.size("next") > 0).isEmpty():

@@ -322,6 +322,31 @@ def test_stage_leaves_no_shuffle_files(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_search_of_few_queries_takes_few_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(300)]
+    files = []
+    plain = nn_descent.stage
+
+    def counted(df, label):
+        out = plain(df, label)
+        files.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(nn_descent, "stage", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    vectors = np.array([r[1] for r in rows])
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    for q in range(0, 300, 50):
+        near = [i for i in np.argsort(-(unit @ unit[q]), kind="stable") if i != q][:5]
+        assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == near
+    assert {n for label, n in files if label == "beams"} == {1}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 9)] + [(20, 21), (30, 30)]
     labels = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
