@@ -322,6 +322,16 @@ def test_stage_leaves_no_shuffle_files(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_segments_drop_what_was_sent(spark, monkeypatch):
+    """The shortened segments are done with, and off the disk, before the segments themselves are shuffled."""
+    labels = []
+    monkeypatch.setattr(line_dedup, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    lines = [prose(40, 18), prose(40, 17) + " new words", prose(41, 18)]
+    frame = spark.createDataFrame(list(enumerate(lines)), "key long, line string")
+    rows = line_dedup.segments(frame).select("line").distinct().collect()
+    assert labels == ["packs", "shared"] and {r.line for r in rows} == {0, 1}
+
+
 def test_search_of_few_queries_takes_few_tasks(spark, monkeypatch):
     rng = np.random.default_rng(7)
     rows = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(300)]
