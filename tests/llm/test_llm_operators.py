@@ -322,6 +322,21 @@ def test_stage_leaves_no_shuffle_files(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_pipeline_sends_small_batches(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    def sizes(spark, docs, sf_dir):
+        return docs.mapInPandas(lambda batches: (b[:1].assign(doc_id=len(b)) for b in batches), docs.schema)
+
+    spark.range(3_000).toDF("doc_id").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", sizes), ("last", lambda spark, docs, sf_dir: docs)])
+    try:
+        found = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(found) == 3_000 and max(found) <= 1_000
+
+
 def test_segments_drop_what_was_sent(spark, monkeypatch):
     """The shortened segments are done with, and off the disk, before the segments themselves are shuffled."""
     labels = []
