@@ -337,6 +337,43 @@ def test_pipeline_sends_small_batches(spark, tmp_path, monkeypatch):
     assert sum(found) == 3_000 and max(found) <= 1_000
 
 
+def test_sets_in_a_row_are_not_all_compared(spark, monkeypatch):
+    """Sets that chance connects are compared where they share shingles, not with all others of their group."""
+    rng, rows = np.random.default_rng(11), {}
+    monkeypatch.setattr(ngram_join, "BLOCK", 20)
+    monkeypatch.setattr(ngram_join, "stage", lambda df, label: rows.setdefault(label, []).append(out := stage(df, label)) or out)
+    passages = [" ".join(f"p{i}x{j}" for j in range(8)) for i in range(300)]
+    texts = [" ".join(passages[int(i)] for i in rng.choice(300, 3, replace=False)) for _ in range(600)]
+    texts += [texts[7] + " end", texts[250] + " end"]  # linked with texts of the group
+    texts += [t.replace("x3 ", "x3z ") for t in texts[100:103]]  # too many shingles differ
+    found = {r.doc_id: r.component_id for r in ngram_join.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {i: {600: 7, 601: 250}.get(i, i) for i in range(len(texts))}
+    assert sum(df.count() for df in rows["tokens"]) > 500  # one group, of many blocks
+    assert sum(df.count() for df in rows.get("blocks", [])) == 0 and sum(df.count() for df in rows["listed"]) < 100
+
+
+def test_common_shingles_of_large_groups_are_compared_by_blocks(spark, monkeypatch):
+    """Links are those of brute force where some shingles of a large group are listed and others are too common for that."""
+    rng, labels = np.random.default_rng(12), []
+    monkeypatch.setattr(ngram_join, "BLOCK", 20)
+    monkeypatch.setattr(ngram_join, "LISTED", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK_PAIRS_A_LISTED", 0)
+    monkeypatch.setattr(ngram_join, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    passages = [" ".join(f"p{i}x{j}" for j in range(12)) for i in range(20)]
+    texts = [" ".join([*(f"own{i}y{j}" for j in range(16)), *(passages[int(x)] for x in rng.choice(20, 2, replace=False))]) for i in range(160)]
+    texts += [t.replace("y3 ", "y3z ") for t in texts[:20]] + [t + " end" for t in texts[:30]] + [f"{t} {i}" for i, t in enumerate(texts[40:60])]
+    shingler = ngram_join.Shingler(5)
+    sets, least = [shingler(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if ngram_join.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]), 80):
+                a, b = sorted((least[i], least[j]))
+                least = [a if x == b else x for x in least]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.similar_documents(frame).collect()}
+    assert found == dict(enumerate(least)) and {"listed", "blocks"} <= set(labels)
+
+
 def test_segments_drop_what_was_sent(spark, monkeypatch):
     """The shortened segments are done with, and off the disk, before the segments themselves are shuffled."""
     labels = []
